@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxlake.llm.line_rules import OP8_SQL, op8_line_frequency
 from voxlake.llm.mixing import op4_hash_threshold_mix
 from voxlake.llm.sharding import op5_virtual_slots
 
@@ -14,8 +15,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_hash_threshold_mix": op4_hash_threshold_mix,
         "op5_virtual_slots": op5_virtual_slots,
+        "op8_line_frequency": op8_line_frequency,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_line_frequency": OP8_SQL,
+    }
