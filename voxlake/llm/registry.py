@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxlake.llm.licenses import OP6_SQL, op6_license_digests
 from voxlake.llm.line_rules import OP8_SQL, op8_line_frequency
 from voxlake.llm.mixing import op4_hash_threshold_mix
+from voxlake.llm.perspectives import OP10_SQL, op10_perspective_rotation
 from voxlake.llm.sharding import op5_virtual_slots
 
 
@@ -15,11 +17,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_hash_threshold_mix": op4_hash_threshold_mix,
         "op5_virtual_slots": op5_virtual_slots,
+        "op6_license_digests": op6_license_digests,
         "op8_line_frequency": op8_line_frequency,
+        "op10_perspective_rotation": op10_perspective_rotation,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_license_digests": OP6_SQL,
         "op8_line_frequency": OP8_SQL,
+        "op10_perspective_rotation": OP10_SQL,
     }
