@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxlake.llm.fixity import OP2_SQL, op2_merkle_fixity
 from voxlake.llm.licenses import OP6_SQL, op6_license_digests
 from voxlake.llm.line_rules import OP8_SQL, op8_line_frequency
 from voxlake.llm.mixing import op4_hash_threshold_mix
@@ -15,6 +16,7 @@ from voxlake.llm.sharding import op5_virtual_slots
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_merkle_fixity": op2_merkle_fixity,
         "op4_hash_threshold_mix": op4_hash_threshold_mix,
         "op5_virtual_slots": op5_virtual_slots,
         "op6_license_digests": op6_license_digests,
@@ -25,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_merkle_fixity": OP2_SQL,
         "op6_license_digests": OP6_SQL,
         "op8_line_frequency": OP8_SQL,
         "op10_perspective_rotation": OP10_SQL,
