@@ -7,6 +7,8 @@ import contextlib
 import tempfile
 import uuid
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
@@ -68,3 +70,41 @@ class Scratch:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, kept while they are few enough."""
+
+    LIMIT = 1_000_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+
+
+def spread(h: np.ndarray) -> np.ndarray:
+    """Hashes whose every bit depends on all bits of the input."""
+    h = (h ^ (h >> np.uint64(32))) * _SPREAD
+    h = (h ^ (h >> np.uint64(29))) * _SPREAD
+    return h ^ (h >> np.uint64(32))
+
+
+def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of n words; one of all words if there are fewer; none without words."""
+    size = len(hashes)
+    if not size:
+        return hashes
+    n = min(n, size)
+    out = hashes[: size - n + 1].copy()
+    for k in range(1, n):
+        out = out * _MIX + hashes[k : size - n + 1 + k]
+    return spread(out + np.uint64(n))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxlake.llm.decontamination import op1_seeded_alignment
 from voxlake.llm.fixity import OP2_SQL, op2_merkle_fixity
 from voxlake.llm.licenses import OP6_SQL, op6_license_digests
 from voxlake.llm.line_rules import OP8_SQL, op8_line_frequency
@@ -16,6 +17,7 @@ from voxlake.llm.sharding import op5_virtual_slots
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_seeded_alignment": op1_seeded_alignment,
         "op2_merkle_fixity": op2_merkle_fixity,
         "op4_hash_threshold_mix": op4_hash_threshold_mix,
         "op5_virtual_slots": op5_virtual_slots,
