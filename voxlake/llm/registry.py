@@ -14,12 +14,14 @@ from voxlake.llm.mixing import op4_hash_threshold_mix
 from voxlake.llm.neardup import op7_odd_sketch
 from voxlake.llm.perspectives import OP10_SQL, op10_perspective_rotation
 from voxlake.llm.sharding import op5_virtual_slots
+from voxlake.llm.toxicity import op3_compression_distance
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_seeded_alignment": op1_seeded_alignment,
         "op2_merkle_fixity": op2_merkle_fixity,
+        "op3_compression_distance": op3_compression_distance,
         "op4_hash_threshold_mix": op4_hash_threshold_mix,
         "op5_virtual_slots": op5_virtual_slots,
         "op6_license_digests": op6_license_digests,
