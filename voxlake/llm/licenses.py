@@ -4,8 +4,9 @@ A text is brought to a canonical form (case, punctuation, copyright lines, equiv
 white space) and hashed; a hash join finds the texts, and the single lines, that are a known licence
 or notice as a whole. The known texts pass through the same expressions.
 
-Only texts and lines whose length can reach that of a known text are respelled and hashed: no
-respelling shortens a text below two thirds, so that the length limit drops no match. ``known`` is a
+Only texts and lines that have the length of a known text once respelled are hashed, and those of
+more than 1.5 times the longest are not even respelled: no respelling shortens a text below two
+thirds, so that the limits drop no match. ``known`` is a
 catalogue; Spark broadcasts it only below its size threshold.
 
 Defined cases: a null or empty text has no licence; equal rows get equal results; a line that several
@@ -14,9 +15,14 @@ licences share reports the first id; further columns are ignored; an empty table
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxlake.llm.common import Scratch
+
 #: Equivalent words: the first is replaced by the second. None is longer than 1.5 times its replacement.
 SPELLINGS = (
     ("licence", "license"),
@@ -39,9 +45,10 @@ SPELLINGS = (
     ("whilst", "while"),
     ("https", "http"),
 )
+COPYRIGHT_MARKS = ("copyright", "(c)", "all rights reserved")
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|all rights reserved)[^\n]*$"
-#: Punctuation in ASCII, and typographic quotes, dashes and the copyright sign.
-PUNCTUATION = r"[!-/:-@\[-`{-~\x{2018}\x{2019}\x{201C}\x{201D}\x{2013}\x{2014}\x{00A9}]+"
+#: Punctuation in ASCII, typographic quotes, dashes and the copyright sign, and white space other than line feeds.
+SEPARATORS = r"!-/:-@\[-`{-~\x{2018}\x{2019}\x{201C}\x{201D}\x{2013}\x{2014}\x{00A9} \t\x0B\f\r"
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -80,10 +87,13 @@ KNOWN = (
 
 
 def plain(text: Column) -> Column:
-    """Lower case, without copyright lines and punctuation; lines stay."""
-    t = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    t = F.regexp_replace(t, PUNCTUATION, " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[ \t\x0B\f\r]+", " "), r" ?\n[ \n]*", "\n"))
+    """Lower case, without copyright lines and punctuation; lines stay. Most single spaces are left untouched."""
+    t = F.lower(text)
+    marked = reduce(lambda x, y: x | y, (F.contains(t, F.lit(m)) for m in COPYRIGHT_MARKS))
+    t = F.when(marked, F.regexp_replace(t, COPYRIGHT_LINE, "")).otherwise(t)
+    others = SEPARATORS.replace(" ", "")
+    t = F.regexp_replace(t, f"(?:[{others}]| (?=[{SEPARATORS}]))[{SEPARATORS}]*", " ")
+    return F.trim(F.regexp_replace(t, r" ?\n[ \n]*", "\n"))
 
 
 def folded(text: Column) -> Column:
@@ -92,9 +102,11 @@ def folded(text: Column) -> Column:
 
 
 def respelled(text: Column) -> Column:
+    out = text
     for old, new in SPELLINGS:
-        text = F.regexp_replace(text, rf"\b{old}\b", new)
-    return text
+        out = F.regexp_replace(out, rf"\b{old}\b", new)
+    words = "|".join(old for old, _ in SPELLINGS)
+    return F.when(text.rlike(rf"\b(?:{words})\b"), out).otherwise(text)
 
 
 def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
@@ -110,22 +122,25 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     licence), its licence, and the licences whose whole text is one of its lines."""
     spark = docs.sparkSession
     catalogue = known_digests(spark, known)
-    least, most = catalogue.agg(F.min("chars"), F.max("chars")).first()
-    least, most = least or 0, most or 0
-    catalogue = catalogue.drop("chars")
+    sizes = {r.chars for r in catalogue.select("chars").distinct().collect()}  # lengths of known texts
+    most = max(sizes, default=0)
     if known is None:  # len(KNOWN) rows
         catalogue = F.broadcast(catalogue)
+    catalogue = catalogue.drop("chars")
 
     def digest(t: Column) -> Column:
-        n = F.length(t)
-        return F.when((n >= least) & (n <= 1.5 * most), F.sha2(respelled(t), 256))
-
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_key"), plain(F.coalesce("text", F.lit(""))).alias("plain"))
-    whole = base.select("doc_id", "text_key", F.length("plain").alias("n_chars"), digest(folded(F.col("plain"))).alias("digest"))
-    whole = whole.join(catalogue, "digest", "left")
-    lines = base.select("doc_id", "text_key", F.explode(F.split("plain", "\n")).alias("line")).select("doc_id", "text_key", digest(F.trim("line")).alias("digest"))
-    notices = lines.where(F.col("digest").isNotNull()).join(catalogue, "digest")
-    notices = notices.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("license_id")).alias("notices"))
+        u = respelled(t)
+        return F.when((F.length(t) <= 1.5 * most) & F.length(u).isin(sizes), F.sha2(u, 256))
+
+    text = F.coalesce("text", F.lit(""))
+    base = docs.select("doc_id", F.xxhash64(text).alias("text_key"), plain(text).alias("plain"))
+    short = F.filter(F.split("plain", "\n"), lambda x: F.length(x).between(1, math.ceil(1.5 * most)))
+    found = Scratch(spark, "licenses").save(
+        base.select("doc_id", "text_key", F.length("plain").cast("long").alias("n_chars"), digest(folded(F.col("plain"))).alias("digest"), F.filter(F.transform(short, lambda x: digest(F.trim(x))), lambda d: d.isNotNull()).alias("lines")), "digests"
+    )
+    whole = found.select("doc_id", "text_key", "n_chars", "digest").join(catalogue, "digest", "left")
+    lines = found.select("doc_id", "text_key", F.explode("lines").alias("digest"))
+    notices = lines.join(catalogue, "digest").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("license_id")).alias("notices"))
     notices = notices.withColumnsRenamed({"doc_id": "n_id", "text_key": "n_key"})
     out = whole.join(notices, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("text_key") == F.col("n_key")), "left")
     return out.select("doc_id", "n_chars", "digest", "license_id", F.coalesce("notices", F.array().cast("array<string>")).alias("notices"))
@@ -134,7 +149,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
 def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licence of every document, and those of its lines."""
     out = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return out.withColumn("notices", F.array_join("notices", ";")).withColumn("n_chars", F.col("n_chars").cast("long"))
+    return out.withColumn("notices", F.array_join("notices", ";"))
 
 
 def _sql() -> str:
@@ -142,8 +157,8 @@ def _sql() -> str:
 
     def plain_sql(t: str) -> str:
         t = f"regexp_replace(lower({t}), '{q(COPYRIGHT_LINE)}', '', 'g')"
-        t = f"regexp_replace({t}, '{q(PUNCTUATION)}', ' ', 'g')"
-        return rf"trim(regexp_replace(regexp_replace({t}, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'))"
+        t = f"regexp_replace({t}, '[{q(SEPARATORS)}]+', ' ', 'g')"
+        return rf"trim(regexp_replace({t}, ' ?\n[ \n]*', chr(10), 'g'))"
 
     def respelled_sql(t: str) -> str:
         for old, new in SPELLINGS:
@@ -155,10 +170,11 @@ def _sql() -> str:
     return f"""
 WITH k0 AS (SELECT v.id AS license_id, {respelled_sql(fold(plain_sql('v.t')))} AS t FROM (VALUES {values}) v(id, t)),
 k AS (SELECT sha256(t) AS digest, min(license_id) AS license_id FROM k0 GROUP BY 1),
-lim AS (SELECT min(length(t)) AS lo, 1.5 * max(length(t)) AS hi FROM k0),
+sizes AS (SELECT list(DISTINCT length(t)) AS s, 1.5 * max(length(t)) AS hi FROM k0),
 d AS (SELECT row_number() OVER () AS r, doc_id, {plain_sql("coalesce(text, '')")} AS p FROM documents),
-whole AS (SELECT r, doc_id, length(p)::BIGINT AS n_chars, CASE WHEN length({fold('p')}) BETWEEN lo AND hi THEN sha256({respelled_sql(fold('p'))}) END AS digest FROM d, lim),
-lines AS (SELECT r, sha256({respelled_sql('l')}) AS digest FROM (SELECT r, trim(unnest(string_split(p, chr(10)))) AS l FROM d), lim WHERE length(l) BETWEEN lo AND hi),
+whole AS (SELECT r, doc_id, length(p)::BIGINT AS n_chars, CASE WHEN list_contains(s, length(u)) AND length(f) <= hi THEN sha256(u) END AS digest
+  FROM (SELECT *, {fold('p')} AS f, {respelled_sql(fold('p'))} AS u FROM d), sizes),
+lines AS (SELECT r, sha256(u) AS digest FROM (SELECT r, {respelled_sql('l')} AS u FROM (SELECT r, trim(unnest(string_split(p, chr(10)))) AS l FROM d)), sizes WHERE list_contains(s, length(u))),
 n AS (SELECT r, array_to_string(list_sort(list(DISTINCT license_id)), ';') AS notices FROM lines JOIN k USING (digest) GROUP BY r)
 SELECT doc_id, n_chars, digest, license_id, coalesce(notices, '') AS notices FROM whole LEFT JOIN k USING (digest) LEFT JOIN n USING (r)
 """
