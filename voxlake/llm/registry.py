@@ -12,6 +12,7 @@ from voxlake.llm.licenses import OP6_SQL, op6_license_digests
 from voxlake.llm.line_rules import OP8_SQL, op8_line_frequency
 from voxlake.llm.mixing import op4_hash_threshold_mix
 from voxlake.llm.neardup import op7_odd_sketch
+from voxlake.llm.ngram_lm import op9_elias_fano_lm
 from voxlake.llm.perspectives import OP10_SQL, op10_perspective_rotation
 from voxlake.llm.sharding import op5_virtual_slots
 from voxlake.llm.toxicity import op3_compression_distance
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_license_digests": op6_license_digests,
         "op7_odd_sketch": op7_odd_sketch,
         "op8_line_frequency": op8_line_frequency,
+        "op9_elias_fano_lm": op9_elias_fano_lm,
         "op10_perspective_rotation": op10_perspective_rotation,
     }
 
