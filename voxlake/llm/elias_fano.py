@@ -98,7 +98,7 @@ class EliasFano:
         bit[after] = self._select(high[after] - 1, self.zeros, True) + 1
         j = bit - high
         open_ = np.arange(len(y))
-        while len(open_):  # values with the same high part, one or two as a rule
+        for _ in range(2):  # values with the same high part, one or two as a rule
             b, k = bit[open_], j[open_]
             there = (self.high[b >> 6] >> (b & 63).astype(np.uint64)) & _ONE == 1
             value = self._low(np.minimum(k, self.n - 1))
@@ -107,6 +107,17 @@ class EliasFano:
             open_ = open_[smaller]
             bit[open_] += 1
             j[open_] += 1
+        if len(open_):  # where they are many, by halves
+            below, above = j[open_], self._select(high[open_], self.zeros, True) - high[open_]
+            end = above.copy()
+            while (wide := np.flatnonzero(below < above)).size:
+                middle = (below[wide] + above[wide]) >> 1
+                less = self._low(middle) < low[open_[wide]]
+                below[wide] = np.where(less, middle + 1, below[wide])
+                above[wide] = np.where(less, above[wide], middle)
+            j[open_] = below
+            hit = below < end
+            same[inside[open_[hit]]] = self._low(below[hit]) == low[open_[hit]]
         place[inside] = j
         return place, same
 

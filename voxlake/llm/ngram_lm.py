@@ -25,6 +25,7 @@ every token has probability 0.1 / 0.1 = 1.
 
 from __future__ import annotations
 
+import contextlib
 import fcntl
 import mmap
 import os
@@ -110,6 +111,9 @@ class Files:
         for x in parts:
             if x.getPath().getName() in self.names:
                 sc.addFile(x.getPath().toString())
+                if not sc.master.startswith("local["):  # executors fetch from the shared folder; the driver needs no copy
+                    with contextlib.suppress(OSError):
+                        os.remove(os.path.join(SparkFiles.getRootDirectory(), x.getPath().getName()))
         self.key = path.rsplit("/", 2)[-2] + "-" + path.rsplit("/", 1)[-1]
 
     def open(self) -> dict[int, np.ndarray]:
