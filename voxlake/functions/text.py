@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,11 +81,19 @@ def tokenize(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also inside lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
 def repetition_ratio(text: Column, n: int = 3) -> Column:
     """Share of word n-grams that repeat an earlier one."""
-    t = tokenize(text)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), " "))
-    return F.when(F.size(t) < n + 1, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(grams)) / F.size(grams))
+
+    def ratio(t: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), " "))
+        return F.when(F.size(t) < n + 1, F.lit(0.0)).otherwise(bound(grams, lambda g: 1 - F.size(F.array_distinct(g)) / F.size(g)))
+
+    return bound(tokenize(text), ratio)
 
 
 def _ends_with(text: Column, marks: str) -> Column:
