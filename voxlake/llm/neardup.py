@@ -40,6 +40,7 @@ BANDS, ROWS = 28, 4
 SKETCH_WORDS = 8  # of 64 bits
 SIGMAS = 5.5
 SMALL, BLOCK = 16, 1024
+BROADCAST_IDS = 2_000_000  # 8 bytes each
 _CHUNK = 2048  # shingles hashed at a time
 _COLUMNS = 8192  # shingles of a matrix product
 
@@ -211,7 +212,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     buckets = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
     members = scratch.save(bands.join(buckets, "bucket").select("bucket", "first", "node"), "members")
     wanted = members.select("node").distinct()
-    sets = scratch.save(docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets(n), "node long, items array<long>").dropDuplicates(["node"]), "sets")
+    sets = scratch.save(_by_id(docs, wanted.withColumnRenamed("node", "doc_id"), "left_semi").mapInArrow(_sets(n), "node long, items array<long>").dropDuplicates(["node"]), "sets")
     sketches = nodes.select("node", "sketch")
     stars = members.where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = scratch.save(_confirmed(stars, sketches, sets, percent), "star-links")
@@ -230,17 +231,26 @@ def kept(doc_id: Column, component_id: Column) -> Column:
     return F.coalesce(doc_id == component_id, component_id.isNull())
 
 
+def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of documents with distinct ids (doc_id): texts aren't shuffled while the ids are few enough to broadcast."""
+    ids = ids.select(F.col("doc_id").alias("_id"))
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(ids, F.col("doc_id") == F.col("_id"), how)
+
+
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Documents with one of each component, all columns; of rows that share that id the one with the smallest text."""
-    found = near_duplicates(docs, n, percent).where(kept(F.col("doc_id"), F.col("component_id"))).select("doc_id").distinct()
-    names = docs.columns
-    chosen = docs.join(found.withColumnRenamed("doc_id", "found_id"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left_semi")
-    ids = chosen.groupBy("doc_id").agg(F.count("*").alias("copies"))
-    twice = ids.where("copies > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("twice_id"))
-    single = chosen.join(twice, F.col("doc_id") == F.col("twice_id"), "left_anti")
-    double = chosen.join(twice, F.col("doc_id") == F.col("twice_id"), "left_semi")
-    double = double.groupBy("doc_id").agg(F.min_by(F.struct(*names), F.struct("text")).alias("row")).select("row.*")
-    return single.select(*names).unionByName(double)
+    """Documents with one of each component, all columns. Of rows that share an id the one with the
+    smallest text stays; rows without id can't be told apart, and stay."""
+    scratch = Scratch(docs.sparkSession, "keep")
+    found = scratch.save(near_duplicates(docs, n, percent).where("doc_id IS NOT NULL").select("doc_id", "component_id"), "found")
+    copies = found.where(~kept(F.col("doc_id"), F.col("component_id"))).select("doc_id").distinct()
+    twice = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    chosen = _by_id(docs, copies, "left_anti")
+    if twice.isEmpty():
+        return chosen
+    names = F.struct(*docs.columns)
+    double = _by_id(chosen, twice, "left_semi").groupBy("doc_id").agg(F.min_by(names, F.struct("text")).alias("row")).select("row.*")
+    return _by_id(chosen, twice, "left_anti").unionByName(double)
 
 
 def op7_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
