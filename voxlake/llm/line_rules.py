@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,16 +83,20 @@ _FEATURES = (
 )
 
 
-def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for doc_id, host, text in zip(pdf["doc_id"], pdf["host"], pdf["text"], strict=True):
-            lines, sizes = line_hashes(text)
-            key = xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
-            rows.append((doc_id, host, key, *text_counts(text), lines, sizes))
-        out = pd.DataFrame(rows, columns=[x.split()[0] for x in _FEATURES.split(", ")])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, counts, lines, sizes = [], [], [], []
+        for x in batch.column("text"):
+            text = x.as_py()
+            keys.append(xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63))
+            counts.append(text_counts(text))
+            hashes, words = line_hashes(text)
+            lines.append(hashes)
+            sizes.append(words)
+        columns = [batch.column("doc_id").cast(pa.int64()), batch.column("host").cast(pa.string()), pa.array(keys, pa.int64())]
+        columns += [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] if counts else [pa.array([], pa.int64())] * 5
+        columns += [pa.array(lines, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _FEATURES.split(", ")])
 
 
 def frequent_lines(texts: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
@@ -103,7 +108,7 @@ def frequent_lines(texts: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 def score_documents(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
     """Counts, removed words and verdict of every document."""
     scratch = Scratch(docs.sparkSession, "lines")
-    features = scratch.save(docs.select("doc_id", F.col(host).alias("host"), "text").mapInPandas(_features, _FEATURES), "features")
+    features = scratch.save(docs.select("doc_id", F.col(host).alias("host"), "text").mapInArrow(_features, _FEATURES), "features")
     texts = features.where(F.size("lines") > 0).groupBy("host", "text_key").agg(F.first("lines").alias("lines"), F.first("line_words").alias("line_words"))
     pairs = texts.select("host", "text_key", F.explode(F.arrays_zip(F.transform("lines", lambda x: F.xxhash64("host", x)).alias("line"), F.col("line_words").alias("words"))).alias("x"))
     pairs = pairs.select("host", "text_key", F.col("x.line").alias("line"), F.col("x.words").alias("words"))

@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     scratch = Scratch(docs.sparkSession, "near")
     docs = docs.select("doc_id", "text")
     features = scratch.save(docs.mapInArrow(_features(n), _FEATURES), "features")
-    classes = features.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("node"))
+    # a table of its own, so that adaptive execution can split the joins on the key of a text with many copies
+    classes = scratch.save(features.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("node")), "classes")
     nodes = scratch.save(features.join(classes.where("node IS NOT NULL"), "set_key").where("doc_id = node").select("node", "bands", "sketch").dropDuplicates(["node", "bands"]), "nodes")
     bands = nodes.select("node", F.posexplode("bands").alias("band", "h")).select("node", F.xxhash64("band", "h").alias("bucket"))
     buckets = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -222,7 +223,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     for name in ("sets", "mixed", "members", "nodes"):
         scratch.drop(name)
     named = classes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("component_id"))
-    named = named.withColumnRenamed("set_key", "class_key")
+    named = scratch.save(named.withColumnRenamed("set_key", "class_key"), "named")
     out = features.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("class_key"), "left")
     return out.select("doc_id", "n_shingles", "set_key", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -235,7 +236,7 @@ def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi or anti join of documents with distinct ids (doc_id): texts aren't shuffled while the ids are few enough to broadcast."""
     ids = ids.select(F.col("doc_id").alias("_id"))
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(ids, F.col("doc_id") == F.col("_id"), how)
+    return docs.join(ids, docs["doc_id"] == ids["_id"], how)
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -165,13 +165,13 @@ def shard_records(
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS) -> DataFrame:
-    """Documents with their shard and virtual slot, for writing by shard."""
+    """Documents with their virtual_slot and shard, for writing by shard; columns of these names are replaced."""
     spark = docs.sparkSession
-    keyed = docs.withColumn("virtual_slot", virtual_slot([F.col("doc_id")], n_slots))
-    size, _ = slot_totals(keyed.select("virtual_slot", record_bytes(F.col("text")).alias("size")), n_slots)
-    slot_map = place_slots(size, n_shards)
-    places = slot_map.frame(spark).select("virtual_slot", "shard")
-    return keyed.join(F.broadcast(places), "virtual_slot").select(*docs.columns, "virtual_slot", "shard")
+    names = [c for c in docs.columns if c not in ("virtual_slot", "shard")]
+    keyed = docs.select(F.struct(*names).alias("row"), virtual_slot([F.col("doc_id")], n_slots).alias("virtual_slot"), record_bytes(F.col("text")).alias("size"))
+    size, _ = slot_totals(keyed.select("virtual_slot", "size"), n_slots)
+    places = place_slots(size, n_shards).frame(spark).select("virtual_slot", "shard")
+    return keyed.join(F.broadcast(places), "virtual_slot").select("row.*", "virtual_slot", "shard")
 
 
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,8 @@ dictionaries and as many again for the model, the first by a hash of id and text
 
 Defined cases: a null or empty text scores as a text of one empty window; without labels of both
 kinds every score is the share of toxic labels; conflicting labels of a document both count; equal
-texts score equal; further columns are ignored by ``score_documents`` and pass through ``keep_ordinary``.
+texts score equal; further columns are ignored by ``score_documents`` and pass through ``keep_ordinary``;
+empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -197,21 +198,27 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordi
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with score and predicted."""
+    """doc_id, score and predicted of every document."""
 
     def run(batches):
         compressors = model.compressors()
         for batch in batches:
             x = np.array([model.features(t.as_py(), compressors) for t in batch.column("text")]).reshape(-1, 5)
-            yield batch.append_column("score", pa.array(model.scores(x), pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(model.scores(x), pa.float64())], ["doc_id", "score"])
 
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{names}, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_ordinary(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are not predicted toxic, with their columns."""
-    return score_documents(docs, model).where("predicted = 0").select(*docs.columns)
+
+    def run(batches):
+        compressors = model.compressors()
+        for batch in batches:
+            x = np.array([model.features(t.as_py(), compressors) for t in batch.column("text")]).reshape(-1, 5)
+            yield batch.filter(pa.array(model.scores(x) < 0.5, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
