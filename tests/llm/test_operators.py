@@ -1,0 +1,366 @@
+"""Operators against brute force, exact round trips and held-out accuracy."""
+
+import collections
+import math
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from voxlake.llm import components, decontamination, fixity, licenses, line_rules, mixing, neardup, ngram_lm, registry, sharding, toxicity
+from voxlake.llm.common import Scratch
+from voxlake.llm.elias_fano import EliasFano, pack, unpack
+
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.exists(f"{SF}/documents.parquet"), reason="test tables aren't there")
+
+
+def words(rng, n, vocabulary=500):
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+# -- Elias-Fano ----------------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**62), max_size=300), st.lists(st.integers(0, 2**62), max_size=50))
+def test_elias_fano_round_trip(values, asked):
+    v = np.unique(np.array(values, np.uint64))
+    e = EliasFano.from_arrays(*unpack(np.frombuffer(pack(EliasFano.of(v).arrays()), np.uint8)))
+    if len(v):
+        assert (e.get(np.arange(len(v))) == v).all()
+    q = np.array([*asked, *v.tolist()], np.uint64)
+    place, same = e.successor(q)
+    assert (place == np.searchsorted(v, q)).all() and (same == np.isin(q, v)).all()
+
+
+def test_elias_fano_dense_runs():
+    v = np.concatenate([np.arange(5000, dtype=np.uint64), np.arange(10, dtype=np.uint64) * np.uint64(10**15) + np.uint64(10**16)])
+    place, same = EliasFano.of(v).successor(v)
+    assert same.all() and (place == np.arange(len(v))).all()
+
+
+# -- near duplicates -----------------------------------------------------------------------
+
+
+def brute_components(texts, n, percent):
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").encode().lower().split()
+        sets[i] = frozenset(zip(*(w[k:] for k in range(n)), strict=False)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+    label = {i: i for i in texts}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a in texts:
+        for b in texts:
+            if a < b and sets[a] and sets[b]:
+                common = len(sets[a] & sets[b])
+                if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                    x, y = find(a), find(b)
+                    label[max(x, y)] = min(x, y)
+    return {i: find(i) for i in texts}, {i: len(s) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, n, percent):
+    """Groups with copies at all distances, one large, so that stars, small buckets and blocks all have work."""
+    monkeypatch.setattr(neardup, "BLOCK", 32)
+    rng = random.Random(n)
+    texts = {}
+    for group, size in enumerate((150, 12, 12, 6)):
+        base = words(rng, 120)
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.choice((0, 1, 2, 3, 4, 5, 6, 8))):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+            texts[len(texts)] = " ".join(w) + ("" if group else " tail")
+    for _ in range(40):
+        texts[len(texts)] = " ".join(words(rng, rng.randrange(0, 30)))
+    want, sizes = brute_components(texts, n, percent)
+    out = neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), n, percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+    assert {r["doc_id"]: r["n_shingles"] for r in out} == sizes
+
+
+def test_odd_sketch_estimates_similarity():
+    rng = np.random.default_rng(0)
+    limit = neardup.most_differing_bits(0.85)
+    near = far = 0
+    for _ in range(100):
+        base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+        for share, keep in ((0.08, True), (0.6, False)):
+            other = base.copy()
+            other[: int(400 * share)] = rng.integers(0, 2**63, int(400 * share), dtype=np.uint64)
+            a, b = (neardup.odd_sketch(neardup.min_hashes(np.unique(x))) for x in (base, other))
+            passed = int(np.bitwise_count(a ^ b).sum()) <= limit
+            near += passed and keep
+            far += passed and not keep
+    assert near == 100 and far <= 5
+
+
+def test_block_links_are_exact():
+    rng = np.random.default_rng(1)
+    base = np.unique(rng.integers(0, 2**62, 300))
+    rows = [(i, i, np.unique(np.concatenate([base[i * 3 :], rng.integers(0, 2**62, i * 2)]))) for i in range(30)]
+    got = {(a, b) for a, b in neardup.block_links(rows[:10], rows[10:], 85)}
+    want = {(a, b) for a, _, x in rows[:10] for b, _, y in rows[10:] if 100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y))}
+    assert got == want and want
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(1000, 1001)], "a long, b long")
+    out = {r["node"]: r["label"] for r in components.connected_components(links, Scratch(spark, "cc"), "t").collect()}
+    assert {out[i] for i in range(1, 201)} == {1} and out[1001] == 1000
+
+
+# -- mixing and sharding -------------------------------------------------------------------
+
+
+def test_targets_stop_at_twice_the_source():
+    t = mixing.source_targets({"a": 10, "b": 1000, "c": 500, None: 200})
+    assert t["a"] == 20 and math.isclose(sum(t.values()), 1.5 * 1710)
+    assert all(t[s] <= 2 * n + 1e-9 for s, n in {"a": 10, "b": 1000, "c": 500, None: 200}.items())
+
+
+def test_mix_comes_near_its_targets_and_repeats(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice("aaab") if i % 9 else None, " ".join(words(rng, rng.choice((5, 20, 40, 3000 if i % 50 == 0 else 80))))) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    runs = []
+    for parts in (1, 5):
+        keyed = mixing.keyed_documents(docs.repartition(parts))
+        runs.append(sorted((r["doc_id"], r["copies"]) for r in mixing.copies_taken(keyed, mixing.plan_mix(keyed)).collect()))
+    assert runs[0] == runs[1]
+    size = {i: len(t.split()) for i, _, t in rows}
+    total = collections.Counter()
+    for i, s, t in rows:
+        total[s] += len(t.split())
+    taken = collections.Counter()
+    for i, copies in runs[0]:
+        taken[rows[i][1]] += copies * size[i]
+    for s, goal in mixing.source_targets(dict(total)).items():
+        assert abs(taken[s] - goal) <= 0.01 * goal
+    assert mixing.mix_documents(docs).count() == sum(c for _, c in runs[0])
+
+
+def test_shards_are_even_and_the_map_is_versioned(spark, tmp_path):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, "x" * rng.choice((10, 100, 1000, 8000))) for i in range(4000)], "doc_id long, text string")
+    path = f"file://{tmp_path}/map"
+    out, slots = sharding.shard_records(docs, 24, map_path=path)
+    sizes = [r["n"] for r in out.groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    assert len(sizes) == 24 and max(sizes) - min(sizes) <= 0.02 * max(sizes)
+    slot_bytes, _ = sharding.slot_totals(out.select("virtual_slot", "size"))
+    bigger = sharding.grow(slots, slot_bytes)
+    assert all(a == b or b == 24 for a, b in zip(slots.shards, bigger.shards, strict=True)) and 24 in bigger.shards
+    slot_bytes[7] += 500_000
+    again = sharding.rebalance(bigger, slot_bytes)
+    load = collections.Counter()
+    for s, d in enumerate(again.shards):
+        load[d] += slot_bytes[s]
+    assert max(load.values()) <= max(slot_bytes[7] + 10_000, 1.05 * sum(slot_bytes) / 25)
+    fewer = sharding.rebalance(again, slot_bytes, 20)
+    assert max(fewer.shards) < 20 and fewer.version == 4
+    for m in (bigger, again):
+        m.save(spark, path)
+    assert sharding.load_map(spark, path).shards == again.shards and sharding.load_map(spark, path, 1).shards == slots.shards
+
+
+# -- decontamination -----------------------------------------------------------------------
+
+
+def brute_alignment(item, text):
+    best, row = 0, [0] * (len(text) + 1)
+    for a in item:
+        new = [0]
+        for j, b in enumerate(text, 1):
+            new.append(max(0, row[j - 1] + (decontamination.MATCH if a == b else decontamination.MISMATCH), row[j] - decontamination.GAP, new[-1] - decontamination.GAP))
+        row = new
+        best = max(best, *row)
+    return best
+
+
+def test_alignment_matches_brute_force():
+    rng = random.Random(2)
+    for _ in range(60):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(1, 25))] for _ in range(2))
+        assert decontamination.align(np.array(a), np.array(b))[0] == brute_alignment(a, b)
+
+
+def test_exact_and_edited_leaks_are_found(spark):
+    rng = random.Random(4)
+    common = words(rng, 6)
+    items = {i: words(rng, 30, 50_000) + common for i in range(12)}
+    rows, want = [], set()
+    for i in range(400):
+        w = words(rng, 150, 50_000) + common
+        if i < 120:
+            item = list(items[i % 12])
+            for _ in range(0 if i < 60 else 6):
+                k = rng.randrange(len(item))
+                item[k : k + 1] = rng.choice(([], [f"e{k}"], [f"e{k}", f"f{k}"]))
+            at = rng.randrange(len(w))
+            w[at:at] = item
+            want.add((i, i % 12))
+        rows.append((i, " ".join(w).title()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    for block in (1 << 20, 400):  # one block, and several
+        found = {(r["doc_id"], r["item_id"]) for r in decontamination.find_contamination(docs, bench, block_bytes=block).collect()}
+        assert found == want
+
+
+# -- language model ------------------------------------------------------------------------
+
+
+def test_scores_match_brute_force(spark):
+    rng = random.Random(6)
+    texts = [" ".join(words(rng, rng.randrange(0, 60), 200)).upper() for _ in range(300)]
+    train, held = texts[:250], texts[250:] + ["never seen words", ""]
+    tokens = lambda t: [*t.encode().lower().split(), b""]
+    c, b = collections.Counter(), collections.Counter()
+    for t in train:
+        c.update(tokens(t))
+        b.update(zip([b"", *tokens(t)], tokens(t), strict=False))
+    n, v, k = sum(c.values()), len(c), ngram_lm.DIRICHLET
+    p = lambda w: (c[w] + 0.1) / (n + 0.1 * (v + 1))
+    vocabulary, trie = ngram_lm.train(spark.createDataFrame([(t,) for t in train], "text string"), Scratch(spark, "lm-test"))
+    assert vocabulary.total == n and vocabulary.size == v
+    out = ngram_lm.score_documents(spark.createDataFrame(list(enumerate(held)), "doc_id long, text string"), vocabulary, trie)
+    for r in out.collect():
+        w = tokens(held[r["doc_id"]])
+        assert r["n_tokens"] == len(w) and r["n_known"] == sum(c[x] > 0 for x in w)
+        assert math.isclose(r["base_score"], sum(math.log10(p(x)) for x in w), rel_tol=1e-12)
+        exact = sum(math.log10((b[h, x] + k * p(x)) / (c[h] + k)) for h, x in zip([b"", *w], w, strict=False))
+        assert abs(r["score"] - exact) <= 0.5 * ngram_lm.LOWEST / ngram_lm.CODES * len(w) + 1e-9
+
+
+def test_hot_contexts_are_split(spark, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "SEGMENT_TOKENS", 500)
+    monkeypatch.setattr(ngram_lm, "FLUSH_TOKENS", 2000)
+    rng = random.Random(8)
+    texts = [" ".join(x for w in words(rng, 40, 3000) for x in ("the", w)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vocabulary, trie = ngram_lm.train(docs.select("text"), Scratch(spark, "lm-hot"))
+    assert trie.hot
+    out = ngram_lm.score_documents(docs, vocabulary, trie).collect()
+    assert all(r["score"] > r["base_score"] for r in out)
+
+
+# -- toxicity ------------------------------------------------------------------------------
+
+
+def test_held_out_accuracy(spark):
+    rng = random.Random(9)
+    insults = ("idiot", "moron", "worthless", "pathetic", "scumbag")
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 3 == 0
+        w = words(rng, rng.randrange(10, 120), 3000)
+        for _ in range(max(2, len(w) // 12) if toxic else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(insults))
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    out = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
+    assert sum(out[i]["predicted"] == labels[i][2] for i in held) >= 0.95 * len(held)
+    assert all((out[i]["score"] >= 0.5) == (out[i]["predicted"] == 1) for i in out)
+
+
+# -- fixity, licences, quality ---------------------------------------------------------------
+
+
+def test_corruption_is_located(spark):
+    rows = [(i, f"{i:064x}", 100 + i % 7) for i in range(3000)]
+    stored = Scratch(spark, "fx").save(
+        fixity.lay_out(spark.createDataFrame(rows, "record_id long, digest string, length long"), 40_000), "stored"
+    )
+    bad = {5, 700, 701, 2999}
+    other = stored.withColumn("digest", F.when(F.col("record_id").isin(*bad), F.sha2("digest", 256)).otherwise(F.col("digest")))
+    trees = fixity.build_trees({"a": stored, "b": other}, Scratch(spark, "fx"), 8)
+    found = fixity.mismatches(trees["a"], trees["b"]).join(stored.select("file", "position", "record_id", "offset", "length"), ["file", "position"]).collect()
+    assert {r["record_id"] for r in found} == bad and all(r["lo"] == r["offset"] and r["hi"] == r["offset"] + r["length"] for r in found)
+    assert trees["a"].root() != trees["b"].root()
+    assert fixity.build_trees({"a": stored}, Scratch(spark, "fx2"), 8)["a"].root() == trees["a"].root()
+
+
+def test_equivalent_licences_share_a_digest(spark):
+    mit = licenses.KNOWN[0][1]
+    rows = [(1, mit), (2, "Copyright (c) 2020 Ann\n\n" + mit.replace("sublicense", "Sublicence").replace(",", " ,").upper()), (3, mit + " and more"), (4, "prose\nReleased  under the MIT licence!\nmore prose")]
+    out = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i]["license_id"] for i in (1, 2, 3, 4)] == ["MIT", "MIT", None, None]
+    assert out[4]["notices"] == ["MIT"] and out[3]["notices"] == []
+    own = spark.createDataFrame([("X-1", "prose of one's own")], "license_id string, text string")
+    assert licenses.scan_licenses(spark.createDataFrame([(1, "Prose of one's, own.")], "doc_id long, text string"), own).first()["license_id"] == "X-1"
+
+
+def test_boilerplate_documents_are_rejected(spark):
+    rng = random.Random(1)
+    menu = "home about contact terms privacy login search help news and weather"
+    rows = [(i, "h", f"{menu}\n" + " ".join(words(rng, 3, 10**6))) for i in range(30)] + [(100 + i, "h", " ".join(words(rng, 40, 10**6))) for i in range(20)]
+    rows += [(200 + i, "h", "the very same text of twelve words in all of its copies") for i in range(40)] + [(300, "other", f"{menu}\n" + " ".join(words(rng, 3, 10**6)))]
+    out = {r["doc_id"]: r["kept"] for r in line_rules.score_documents(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert not any(out[i] for i in range(30)) and all(out[i] for i in range(100, 120)) and all(out[i] for i in range(200, 240)) and out[300]
+
+
+def brute_repeats(w, n=5):
+    at = collections.defaultdict(list)
+    for i in range(len(w) - n + 1):
+        at[tuple(w[i : i + n])].append(i)
+    return len({i + k for v in at.values() if len(v) > 1 for i in v for k in range(n)})
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=60))
+def test_repeated_words(w):
+    assert line_rules.repeated_words(w) == brute_repeats(w)
+
+
+# -- queries against SQL -------------------------------------------------------------------
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_queries_match_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels", "conversations", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    got = registry.queries()[name](spark, SF)
+    columns = sorted(got.columns)
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
+    assert sorted(map(repr, map(tuple, got.select(*columns).collect()))) == sorted(map(repr, want))
+
+
+@needs_data
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    raw = spark.read.parquet(f"{SF}/documents.parquet")
+    docs, scratch = raw, Scratch(spark, "stages")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = scratch.save(stage(spark, docs, SF), str(k))
+        assert (out.columns == raw.columns) == (k < 4)
+        before, after = ({r["doc_id"]: r["text"] for r in x.collect()} for x in (docs, out))
+        assert after.items() <= before.items()
+        if name == "near duplicates":
+            want, _ = brute_components(before, 5, 80)
+            assert set(after) == {i for i, c in want.items() if i == c} and out.count() == len(after)
+        if name == "decontamination":
+            leaks = {r["doc_id"] for r in decontamination.find_contamination(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+            assert set(after) == set(before) - leaks
+        if name == "sharding":
+            assert out.count() == docs.count() and set(out.columns) - set(raw.columns) == {"virtual_slot", "shard"}
+        docs = out
