@@ -105,13 +105,21 @@ def embed(samples: Column, rate: Column, name: str, **params: Any) -> Column:
     return F.pandas_udf(_each("embedder", name, params, "embed"), "array<float>", F.PandasUDFType.SCALAR_ITER)(samples, rate)
 
 
+def _updated(old: Column, new: Column) -> Column:
+    """Both maps, the new values where both have a key."""
+    return F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)
+
+
 def score_all(clips: DataFrame, scorers: list[tuple[str, dict]]) -> DataFrame:
-    """``clips`` (samples, rate) with the metrics of all scorers, later ones first, to five places."""
+    """``clips`` (samples, rate) with the metrics of all scorers, a later one's in place of an earlier one's, to five places."""
+    found = [f"_metrics{k}" for k in range(len(scorers))]
+    scored = clips
+    for column, (name, params) in zip(found, scorers, strict=True):
+        scored = scored.withColumn(column, score(F.col("samples"), F.col("rate"), name, **params))
     out = F.create_map().cast("map<string,double>")
-    for name, params in scorers:
-        new = score(F.col("samples"), F.col("rate"), name, **params)
-        out = F.map_concat(F.map_filter(out, lambda k, _, new=new: ~F.map_contains_key(new, k)), new)
-    return clips.withColumn("metrics", F.transform_values(out, lambda _, v: F.round(v, 5)))
+    for column in found:
+        out = _updated(out, F.col(column))
+    return scored.withColumn("metrics", F.transform_values(out, lambda _, v: F.round(v, 5))).drop(*found)
 
 
 def route(hint: Column, detected: Column, default: str, routes: dict[str, str]) -> Column:
