@@ -163,3 +163,31 @@ def op4_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = Scratch(spark, "mix").save(keyed_documents(docs), "keyed")
     out = copies_taken(keyed, plan_mix(keyed.drop("doc_id")))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def _sql() -> str:
+    end = 1 << (BITS * LEVELS)
+    ctes = [
+        rf"""d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents)""",
+        "s0 AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source)",
+        f"s1 AS (SELECT source, n, {list(WEIGHTS)}[(k - 1) % {len(WEIGHTS)} + 1]::DOUBLE AS w FROM s0)",
+        # sources by the share at which they are full: the full ones are the first of them
+        "s2 AS (SELECT *, 1.5::DOUBLE * sum(n) OVER () - coalesce(sum(2 * n) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open_w, 2 * n / w AS full_at FROM s1 WINDOW o AS (ORDER BY 2 * n / w, source))",
+        "per AS (SELECT rest / open_w AS p FROM s2 WHERE rest / open_w <= full_at ORDER BY full_at, source LIMIT 1)",
+        "t AS (SELECT source, n, CASE WHEN p * w > 2 * n THEN 2.0::DOUBLE * n ELSE p * w END AS target FROM s1, per)",
+        "p0 AS (SELECT source, n, target, CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END AS passes, target - n * CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END AS rest, 0::BIGINT AS start FROM t)",
+    ]
+    for r in range(1, ROUNDS + 1):
+        longest = "n" if r == 1 else "floor(rest)"
+        ctes += [
+            f"o{r} AS (SELECT *, {longest} AS longest, rest >= 1 AND rest > {NEAR} * target AND start < {end} AS go FROM p{r - 1})",
+            f"c{r} AS (SELECT o.source, o.rest, d.h, sum(d.size) OVER (PARTITION BY o.source ORDER BY d.h) AS upto FROM o{r} o JOIN d ON d.source IS NOT DISTINCT FROM o.source WHERE go AND d.h >= o.start AND d.size <= o.longest)",
+            f"e{r} AS (SELECT source, coalesce(min(h) FILTER (upto > rest), {end}) AS edge, coalesce(max(upto) FILTER (upto <= rest), 0) AS words FROM c{r} GROUP BY source)",
+            f"p{r} AS (SELECT o.* EXCLUDE (rest, start, longest, go), o.rest - CASE WHEN go THEN coalesce(words, 0) ELSE 0 END AS rest, CASE WHEN go THEN coalesce(edge, {end}) ELSE start END AS start, "
+            f"CASE WHEN go THEN start ELSE {end} END AS lo{r}, CASE WHEN go THEN coalesce(edge, {end}) ELSE 0 END AS hi{r}, longest AS m{r} FROM o{r} o LEFT JOIN e{r} e ON o.source IS NOT DISTINCT FROM e.source)",
+        ]
+    once = " OR ".join(f"(h >= lo{r} AND h < hi{r} AND size <= m{r})" for r in range(1, ROUNDS + 1))
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, size, n AS source_size, target, (size * (passes + ({once})::INT))::BIGINT AS taken FROM d JOIN p{ROUNDS} p ON d.source IS NOT DISTINCT FROM p.source"
+
+
+OP4_SQL = _sql()

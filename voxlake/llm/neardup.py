@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import Scratch, WordHashes, shingles, spread, words_of
+from voxlake.llm.common import WORD, Scratch, WordHashes, shingles, spread, words_of
 from voxlake.llm.components import connected_components
 
 BANDS, ROWS = 28, 4
@@ -258,3 +258,16 @@ def op7_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document by 3-word shingles at a similarity of 0.85."""
     out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 3, 85)
     return out.select("doc_id", "n_shingles", "component_id", kept(F.col("doc_id"), F.col("component_id")).alias("kept"))
+
+
+OP7_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS g FROM w),
+n AS (SELECT doc_id, len(g)::BIGINT AS n_shingles FROM s),
+x AS (SELECT doc_id, unnest(g) AS h FROM s), common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n_shingles + q.n_shingles - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT n.doc_id, n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS component_id, n.doc_id = least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS kept
+FROM n LEFT JOIN reach r ON r.a = n.doc_id GROUP BY n.doc_id, n_shingles
+"""

@@ -10,8 +10,8 @@ from voxlake.llm.decontamination import op1_seeded_alignment
 from voxlake.llm.fixity import OP2_SQL, op2_merkle_fixity
 from voxlake.llm.licenses import OP6_SQL, op6_license_digests
 from voxlake.llm.line_rules import OP8_SQL, op8_line_frequency
-from voxlake.llm.mixing import op4_hash_threshold_mix
-from voxlake.llm.neardup import op7_odd_sketch
+from voxlake.llm.mixing import OP4_SQL, op4_hash_threshold_mix
+from voxlake.llm.neardup import OP7_SQL, op7_odd_sketch
 from voxlake.llm.ngram_lm import op9_elias_fano_lm
 from voxlake.llm.perspectives import OP10_SQL, op10_perspective_rotation
 from voxlake.llm.sharding import op5_virtual_slots
@@ -36,7 +36,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_merkle_fixity": OP2_SQL,
+        "op4_hash_threshold_mix": OP4_SQL,
         "op6_license_digests": OP6_SQL,
+        "op7_odd_sketch": OP7_SQL,
         "op8_line_frequency": OP8_SQL,
         "op10_perspective_rotation": OP10_SQL,
     }
