@@ -3,16 +3,17 @@
 Two zstandard dictionaries are trained, one on toxic and one on ordinary text; every window of
 ``WINDOW`` words of a text is compressed with either, and the difference in length tells which kind
 of text it is closer to. A logistic model on the differences of a document's windows, fitted on
-labelled documents that neither dictionary has seen, turns them into a score; 0.5 is its threshold.
+labelled documents that its dictionaries have not seen, turns them into a score; 0.5 is its threshold.
 
 A dictionary is made of the byte sequences that are typical of its kind (``GRAM``-byte sequences
 whose share of documents in one class exceeds that in the other by far), cut to words, before a tail
 that both share, trained on ordinary text: at the same distance in both, what is common to all text
 costs the same in either, and only what is typical of one kind makes a difference.
 
-Training reads at most ``TOXIC_DOCS`` toxic and ``ORDINARY_DOCS`` ordinary labelled documents for the
-dictionaries and as many again for the model, the first by a hash of id and text, and of each at most
-``MAX_TRAIN_BYTES``; scoring reads whole texts.
+Training reads at most ``TOXIC_DOCS`` toxic and ``ORDINARY_DOCS`` ordinary labelled documents, the first
+by a hash of the id, and of each at most ``MAX_TRAIN_BYTES``; scoring reads whole texts. The sample is
+halved: dictionaries of either half give the windows' differences of the other, on which the logistic
+model is fitted; the dictionaries that score are those of both halves.
 
 Defined cases: a null or empty text scores as a text of one empty window; without labels of both
 kinds every score is the share of toxic labels; conflicting labels of a document both count; equal
@@ -30,13 +31,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WINDOW = 24
-LEVEL = 12
+WINDOW = 32
+LEVEL = 16
 GRAM = 5
-TYPICAL_BYTES, COMMON_BYTES = 4096, 1024
-TOXIC_DOCS, ORDINARY_DOCS = 1500, 3000
+TYPICAL_BYTES, COMMON_BYTES = 4096, 256
+TOXIC_DOCS, ORDINARY_DOCS = 2000, 4000
 MAX_TRAIN_BYTES = 20_000
-MIN_RATIO, MIN_Z = 9.0, 3.3
+MIN_RATIO = 30.0
+MIN_DOCS, MIN_DOC_SHARE = 3, 0.017
 _BUCKETS = 1 << 20
 FOLDS = 5
 
@@ -100,7 +102,7 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     """Contents of the toxic and the ordinary dictionary."""
     n_toxic, n_ordinary = _document_counts(toxic), _document_counts(ordinary)
     ratio = np.log((n_toxic + 0.5) / (len(toxic) + 1)) - np.log((n_ordinary + 0.5) / (len(ordinary) + 1))
-    z = ratio / np.sqrt(1 / (n_toxic + 0.5) + 1 / (n_ordinary + 0.5))
+    often = lambda n, texts: n >= max(MIN_DOCS, MIN_DOC_SHARE * len(texts))
     common = b""
     samples = [w for t in ordinary for w in windows(t.split())]
     try:
@@ -108,7 +110,7 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     except zstandard.ZstdError:  # too little text to train on
         common = b"".join(samples)[-COMMON_BYTES:]
     high = np.log(MIN_RATIO)
-    parts = (_typical(toxic, (ratio > high) & (z > MIN_Z), TYPICAL_BYTES), _typical(ordinary, (ratio < -high) & (z < -MIN_Z), TYPICAL_BYTES))
+    parts = (_typical(toxic, (ratio > high) & often(n_toxic, toxic), TYPICAL_BYTES), _typical(ordinary, (ratio < -high) & often(n_ordinary, ordinary), TYPICAL_BYTES))
     return tuple(p + common or b" " for p in parts)
 
 
@@ -136,20 +138,30 @@ class Model:
         saved = np.sort([len(ordinary.compress(x)) - len(toxic.compress(x)) for x in w])[::-1]
         return [saved[0], saved[:3].sum(), saved.mean(), np.maximum(saved - 2, 0).sum() / len(w) ** 0.5, np.log(len(w))]
 
-    def fit(self, features: np.ndarray, labels: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> None:
-        """Logistic regression by Newton's method."""
-        self.prior = float(labels.mean()) if len(labels) else 0.0
+    def fit(self, features: np.ndarray, labels: np.ndarray, share: float, rounds: int = 100, ridge: float = 1.0) -> None:
+        """Logistic regression by Newton's method with halved steps, its constant shifted from the sample's share of toxic texts to that of all labelled ones."""
+        self.prior = share
         if len(set(labels.tolist())) < 2:
             return
         self.mean, self.scale = features.mean(0), features.std(0) + 1e-9
         x = np.c_[np.ones(len(features)), self._expand((features - self.mean) / self.scale)]
         w = np.zeros(x.shape[1])
+
+        def loss(w: np.ndarray) -> float:
+            z = x @ w
+            return float((np.logaddexp(0, z) - labels * z).sum() + ridge / 2 * (w @ w))
+
+        at = loss(w)
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (labels - p) - ridge * w)
-            w += step
-            if np.abs(step).max() < 1e-8:
+            while (new := loss(w + step)) > at and np.abs(step).max() > 1e-9:
+                step /= 2
+            if at - new < 1e-9 * abs(at):
                 break
+            w, at = w + step, new
+        odds = lambda p: np.log(p / (1 - p))
+        w[0] += odds(share) - odds(float(labels.mean()))
         self.weights = w
 
     @staticmethod
@@ -172,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordi
     # by id hash, so that texts are read of a bounded sample only; the order among them is that of the hash
     order = F.xxhash64("doc_id")
     sample = None
-    for kind, most in ((True, 2 * toxic_docs), (False, 2 * ordinary_docs)):
+    for kind, most in ((True, toxic_docs), (False, ordinary_docs)):
         part = known.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(most) if n.get(kind, 0) > most else known.where(F.col("toxic") == kind)
         sample = part if sample is None else sample.union(part)
     rows = docs.select("doc_id", F.substring("text", 1, MAX_TRAIN_BYTES).alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text", order.alias("h")).collect()
@@ -184,16 +196,21 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordi
         k = seen.setdefault(t, len(seen) % 2)  # a text is in one half only
         fold[r.toxic][k].append(t)
     join = lambda t: b" " + b" ".join(normalised(t, MAX_TRAIN_BYTES)) + b" "
-    if not (fold[True][0] and fold[False][0]):
+    if not (any(fold[True]) and any(fold[False])):
         model = Model(b" ", b" ")
         model.prior = len(fold[True][0] + fold[True][1]) / max(1, len(rows))
         return model
-    model = Model(*train_dictionaries([join(t) for t in fold[True][0]], [join(t) for t in fold[False][0]]))
-    c = model.compressors()
-    x = np.array([model.features(t, c, MAX_TRAIN_BYTES) for kind in (True, False) for t in fold[kind][1]])
-    y = np.array([1.0] * len(fold[True][1]) + [0.0] * len(fold[False][1]))
-    if n.get(True) and n.get(False) and len(x):
-        model.fit(x, y)
+    kinds = (True, False)
+    model = Model(*train_dictionaries(*([join(t) for half in fold[k] for t in half] for k in kinds)))
+    x, y = [], []
+    for seen_half in (0, 1):
+        if all(fold[k][seen_half] for k in kinds):
+            half = Model(*train_dictionaries(*([join(t) for t in fold[k][seen_half]] for k in kinds)))
+            c = half.compressors()
+            x += [half.features(t, c, MAX_TRAIN_BYTES) for k in kinds for t in fold[k][1 - seen_half]]
+            y += [float(k) for k in kinds for _ in fold[k][1 - seen_half]]
+    if x:
+        model.fit(np.array(x), np.array(y), n[True] / (n[True] + n[False]))
     return model
 
 
