@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.operators import intervals, rules, summary
-from voxlake.plans import build_queries, corpus_queries, interval_queries, segment_queries, text_queries, vector_queries
+from voxlake.plans import build_queries, clip_queries, corpus_queries, interval_queries, segment_queries, text_queries, vector_queries
 from voxlake.plans import fixtures as fx
 
-MODULES = (text_queries, interval_queries, corpus_queries, segment_queries, vector_queries, build_queries)
+MODULES = (text_queries, interval_queries, corpus_queries, segment_queries, vector_queries, clip_queries, build_queries)
 
 _RULES = (rules.Rule("duration", min=3.0, max=1800.0), rules.Rule("overlap_ratio", max=0.9))
 
