@@ -132,6 +132,47 @@ def route(hint: Column, detected: Column, default: str, routes: dict[str, str])
     return F.coalesce(F.when(hint.isNotNull(), of(hint)), F.when(hint.isNull(), of(detected)), F.lit(default))
 
 
+def spans(clips: DataFrame, kind: str, name: str, keys: list[str], **params: Any) -> DataFrame:
+    """Spans that a vad (``detect``: start, end) or a diarizer (``diarize``: start, end, speaker) finds in each clip (keys, samples, rate)."""
+    method, extra = {"vad": ("detect", ""), "diarizer": ("diarize", ", speaker string")}[kind]
+    schema = ", ".join(f"{k} {clips.schema[k].dataType.simpleString()}" for k in keys) + ", start double, end double" + extra
+    width = 3 if extra else 2
+
+    def run(batches):
+        c = create(kind, name, **params)
+        c.load()
+        try:
+            for pdf in batches:
+                rows = []
+                for row in pdf.to_dict("records"):
+                    for found in getattr(c, method)(np.asarray(row["samples"], np.float32), int(row["rate"])):
+                        rows.append((*(row[k] for k in keys), *tuple(found)[:width]))
+                yield pd.DataFrame(rows, columns=[*keys, "start", "end", "speaker"][: len(keys) + width])
+        finally:
+            c.unload()
+
+    return clips.select(*keys, "samples", "rate").mapInPandas(run, schema)
+
+
+def processed(samples: Column, rate: Column, name: str, **params: Any) -> Column:
+    """Samples after an enhancer (``process``), of the same length."""
+
+    def run(batches):
+        c = create("enhancer", name, **params)
+        c.load()
+        try:
+            for xs, rates in batches:
+                out = []
+                for x, r in zip(xs, rates, strict=True):
+                    y = np.asarray(c.process(np.asarray(x, np.float32), int(r)), np.float32)
+                    out.append(np.pad(y, (0, max(0, len(x) - len(y))))[: len(x)])
+                yield pd.Series(out)
+        finally:
+            c.unload()
+
+    return F.pandas_udf(run, "array<float>", F.PandasUDFType.SCALAR_ITER)(samples, rate)
+
+
 class LevelScorer(Component):
     """RMS level of a clip in dBFS: a scorer that needs no model."""
 
