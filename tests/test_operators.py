@@ -354,3 +354,11 @@ def test_streams(spark, tmp_path):
     assert {tuple(r) for r in target.read().collect()} == {("a", "2", 2), ("b", "1", 1)}
     words = spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:00:01"), ("a", "2024-01-01 00:00:09")], "source_id string, at string").withColumn("at", F.col("at").cast("timestamp"))
     assert sorted(r.n_words for r in incremental.pause_sessions(words, ["source_id"], "at", "2 seconds", "1 minute").collect()) == [1, 2]
+
+
+def test_missing_word_times_raise(spark):
+    s = spark.createDataFrame([("a",), ("b",)], "source_id string")
+    w = spark.createDataFrame([("a", 0.0), ("b", None)], "source_id string, start double")
+    assert summary.require_words(s.where("source_id = 'a'"), w).count() == 1
+    with pytest.raises(Exception, match="no word times in b"):
+        summary.require_words(s, w).collect()

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from voxlake.functions import text as tx
 from voxlake.operators import publish, rules, summary
+from voxlake.operators.intervals import merge_spans
 from voxlake.operators.references import assign_references
-from voxlake.plans.fixtures import read
+from voxlake.plans.fixtures import SPEECH, TURNS, read, speech, turns
 from voxlake.plans.text_queries import SQL as TEXT_SQL
 
 RULES = (
@@ -178,7 +179,25 @@ _POOL = """o AS (SELECT o_orderkey AS segment_id, o_custkey % 200 AS speaker_id,
 t AS (SELECT * FROM o WHERE e - s > 12), p AS (SELECT 'r' || segment_id AS ref_id, segment_id AS parent_id, speaker_id, source_id, s, e, m FROM o WHERE e - s BETWEEN 4 AND 12)"""
 
 
+def a7_a8_source_stats(spark: SparkSession, d: str) -> DataFrame:
+    return summary.source_stats(turns(spark, d), merge_spans(speech(spark, d), ["source_id"])).withColumnRenamed("speech_time", "speech_us")
+
+
+def a10_build_report(spark: SparkSession, d: str) -> DataFrame:
+    u = _utterances(spark, d)
+    return summary.build_report(u, u.where("speaker_id % 3 = 0 AND source_id LIKE 'show1%'"))
+
+
+def o3_utterance_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Utterances in order of speaker and id, with the path of their clip."""
+    u = _utterances(spark, d).select("speaker_id", "utt_id").orderBy("speaker_id", "utt_id")
+    return u.withColumn("audio_path", F.concat(F.lit("wavs/"), F.lpad(F.col("speaker_id").cast("string"), 5, "0"), F.lit("/"), F.col("utt_id").cast("string"), F.lit(".wav")))
+
+
 QUERIES = {
+    "a7_a8_source_stats": a7_a8_source_stats,
+    "a10_build_report": a10_build_report,
+    "o3_f7_utterance_paths": o3_utterance_batches,
     "f1_first_failure": f1_first_failure,
     "f3_f4_f5_drop_reasons": f3_f5_drop_reasons,
     "f8_metric_columns": f8_metric_columns,
@@ -207,6 +226,11 @@ c AS (SELECT *, CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'l
   WHEN duration < 15 THEN 'shorter_than_target (reference pool only)' WHEN duration > 300 THEN 'longer_than_target' WHEN failure IS NOT NULL THEN 'filter:' || failure END AS reason FROM f)"""
 _HEX = ", ".join(f"('0x' || substr(sha1(segment_id::VARCHAR), {1 + 4 * i}, 4))::BIGINT" for i in range(10))
 SQL = {
+    "a7_a8_source_stats": f"""WITH {TURNS}, {SPEECH}, v AS (SELECT source_id, count(DISTINCT speaker)::BIGINT AS num_speakers, count(*)::BIGINT AS num_turns FROM turns GROUP BY 1),
+p AS (SELECT source_id, count(*)::BIGINT AS num_spans, sum(e - s)::BIGINT AS speech_us FROM speech GROUP BY 1) SELECT * FROM v FULL JOIN p USING (source_id)""",
+    "a10_build_report": f"""WITH {_UTT}, g AS (SELECT * FROM u WHERE speaker_id % 3 = 0 AND source_id LIKE 'show1%')
+SELECT count(DISTINCT speaker_id)::BIGINT AS total_speakers, count(*)::BIGINT AS total_utterances, round(sum(duration) / 3600, 3) AS total_hours, (SELECT count(DISTINCT source_id)::BIGINT FROM u) AS num_sources FROM g""",
+    "o3_f7_utterance_paths": f"WITH {_UTT} SELECT speaker_id, utt_id, 'wavs/' || lpad(speaker_id::VARCHAR, 5, '0') || '/' || utt_id || '.wav' AS audio_path FROM u",
     "f1_first_failure": f"WITH {_SEG} SELECT doc_id, failure AS reason FROM f",
     "f3_f4_f5_drop_reasons": f"WITH {_SEG} SELECT doc_id, reason FROM c",
     "f8_metric_columns": f"WITH {_SEG} SELECT doc_id, chars_per_sec, quality, repetition_ratio, toxic FROM seg",
