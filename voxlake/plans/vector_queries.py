@@ -108,6 +108,10 @@ QUERIES = {
 _UNIT = "list_transform(e, lambda x: x / greatest(sqrt(" + _DOT.format("e", "e") + "), 1e-12))"
 _MS = "list_sum(list_transform({0}, lambda y: y * y)) / len({0})"
 SQL = {
+    "x2_energy_vad": f"""WITH {_CLIPS}, f AS (SELECT clip_id, list_transform(range(26), lambda k: 10 * log10({_MS.format('x[k * 30 + 1:k * 30 + 30]')} + 1e-12)) AS db FROM c),
+l AS (SELECT clip_id, db, list_sort(db) AS o FROM f), t AS (SELECT clip_id, unnest(db) AS level, generate_subscripts(db, 1) - 1 AS k, greatest(o[3] + (o[4] - o[3]) * 0.5::DOUBLE + 12, -55) AS lim FROM l),
+a AS (SELECT clip_id, k, k - row_number() OVER (PARTITION BY clip_id ORDER BY k) AS g FROM t WHERE level > lim)
+SELECT clip_id, round(min(k) * 30 / 1000::DOUBLE, 4) AS s, round((max(k) + 1) * 30 / 1000::DOUBLE, 4) AS e FROM a GROUP BY clip_id, g HAVING (max(k) + 1 - min(k)) * 30 >= 50""",
     "v1_v2_cosine": f"WITH {_V} SELECT vec_id AS segment_id, round({_DOT.format('e', 'list_transform(e, lambda x: 0.125::DOUBLE)')} / sqrt({_DOT.format('e', 'e')}), 6) AS sim, round(sqrt({_DOT.format('e', 'e')}), 6) AS norm FROM v",
     "v6_centroids": f"""WITH {_V}, p AS (SELECT label, duration AS w, unnest(e) AS x, generate_subscripts(e, 1) - 1 AS i FROM v), s AS (SELECT label, i, sum(x * w) AS x FROM p GROUP BY ALL), w AS (SELECT label, sum(duration) AS weight FROM v GROUP BY 1)
 SELECT label, i, round(x / sqrt(sum(x * x) OVER (PARTITION BY label)), 6) AS x, weight FROM s JOIN w USING (label)""",
