@@ -36,6 +36,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Texts reach Python in batches of few MB, however long they are; one text is the least a batch holds."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,6 +55,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
+        bound_batches(spark)
         self.root = f"{shared_folder(spark)}/voxlake-{label}-{uuid.uuid4().hex[:12]}"
         atexit.register(self._remove_all)
 
@@ -75,7 +81,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class WordHashes(dict):
     """64-bit hashes of words, kept while they are few enough."""
 
-    LIMIT = 1_000_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

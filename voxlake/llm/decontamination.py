@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import WordHashes, shingles, words_of
+from voxlake.llm.common import WordHashes, bound_batches, shingles, words_of
 
 N = 4
 MIN_SCORE = 0.5
@@ -140,6 +140,7 @@ def _texts(batch: pa.RecordBatch, hashes: WordHashes) -> Iterator[np.ndarray]:
 def item_blocks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES, n: int = N) -> Iterator:
     """Broadcast blocks of the items with their rare seeds, one after another."""
     spark = docs.sparkSession
+    bound_batches(spark)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, math.ceil(1.5 * size / block_bytes))
     for b in range(count):

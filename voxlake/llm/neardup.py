@@ -42,7 +42,7 @@ SIGMAS = 5.5
 SMALL, BLOCK = 16, 1024
 BROADCAST_IDS = 2_000_000  # 8 bytes each
 _CHUNK = 2048  # shingles hashed at a time
-_COLUMNS = 8192  # shingles of a matrix product
+_COLUMNS = 2048  # shingles of a matrix product
 
 _rng = np.random.default_rng(7)
 _MUL = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

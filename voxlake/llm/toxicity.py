@@ -31,6 +31,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxlake.llm.common import bound_batches
+
 WINDOW = 32
 LEVEL = 16
 GRAM = 5
@@ -179,6 +181,7 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordinary_docs: int = ORDINARY_DOCS) -> Model:
     """A model from labelled documents outside the held-out fold. ``labels``: doc_id, toxic."""
+    bound_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).select("doc_id", (F.col("toxic") > 0).alias("toxic"))
     n = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     # by id hash, so that texts are read of a bounded sample only; the order among them is that of the hash
