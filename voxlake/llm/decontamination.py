@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items are a stated query set: they are taken in blocks of at most ``BLOCK_BYTES`` of text, each
-block is broadcast, and all documents are scanned against it. A first scan counts, for every n-gram
-of the items, the documents that hold it; an item keeps as seeds those that are rare for it (within
-``RARE_FACTOR`` of its rarest, so that an item which leaked everywhere keeps its seeds). A second scan
-aligns the words around seed hits with the item; documents whose local alignment reaches
-``MIN_SCORE`` of a full match are contaminated, edited and paraphrased copies included.
+block is broadcast, and all documents are scanned against it. Every n-gram of an item is a seed,
+however many documents hold it: copies of an edited leak lack just the n-grams over the edit, and no
+count tells those from the rest. The words around seed hits are aligned with the item if they share
+enough words with it to reach the score at all, which drops no match; documents whose local alignment
+reaches ``MIN_SCORE`` of a full match are contaminated, edited and paraphrased copies included.
 
 Defined cases: a null or empty text is clean; an item of fewer than ``N`` words, or null, is too short
 to be evidence and is not searched; equal rows get equal results; equal items are each reported; an
@@ -15,7 +15,6 @@ empty table on either side gives no hits; further columns pass through unchanged
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,6 @@ from voxlake.llm.common import WordHashes, bound_batches, shingles, words_of
 
 N = 4
 MIN_SCORE = 0.5
-RARE_FACTOR, RARE_MORE = 8, 32
 MATCH, MISMATCH, GAP = 2, -1, 1
 BLOCK_BYTES = 16 << 20
 _TABLE_BITS = 20
@@ -38,7 +36,7 @@ class Block:
 
     def __init__(self, items: list[tuple[int | None, str | None]], n: int = N):
         hashes = WordHashes()
-        self.n, self.ids, self.words = n, [], []
+        self.n, self.ids, self.words, self.bags = n, [], [], []
         grams, owner, place = [], [], []
         for item_id, text in sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")):
             w = hashes.of(words_of(text))
@@ -49,6 +47,7 @@ class Block:
                 place.append(np.arange(len(g), dtype=np.int32))
                 self.ids.append(item_id)
                 self.words.append(w)
+                self.bags.append(np.unique(w, return_counts=True))
         g, o, p = (np.concatenate(x) if x else np.zeros(0, d) for x, d in ((grams, np.uint64), (owner, np.int32), (place, np.int32)))
         self._index(g, o, p)
 
@@ -60,14 +59,6 @@ class Block:
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[(self.keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
 
-    def rare(self, counts: np.ndarray) -> None:
-        """Keep the seeds that are rare for their item. counts: documents by key."""
-        each = np.repeat(counts, self.last - self.first)
-        least = np.full(len(self.ids), np.iinfo(np.int64).max)
-        np.minimum.at(least, self.owner, each)
-        keep = each <= RARE_FACTOR * least[self.owner] + RARE_MORE if len(each) else np.zeros(0, bool)
-        self._index(self.grams[keep], self.owner[keep], self.place[keep])
-
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in the text that hold a seed, and the seed's key index."""
         if len(words) < self.n or not len(self.keys):
@@ -95,22 +86,28 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def best_match(item: np.ndarray, text: np.ndarray, starts: np.ndarray) -> tuple[float, int, int]:
-    """Best score as a share of a full match, and the words it covers. starts: where the item would begin, by each hit."""
+def shared(bag: tuple[np.ndarray, np.ndarray], text: np.ndarray) -> int:
+    """Words that an item and a text have in common; an alignment matches no more."""
+    words, counts = bag
+    k = np.minimum(np.searchsorted(words, text), len(words) - 1)
+    return int(np.minimum(np.bincount(k[words[k] == text], minlength=len(words)), counts).sum())
+
+
+def best_match(item: np.ndarray, bag: tuple[np.ndarray, np.ndarray], text: np.ndarray, starts: np.ndarray, min_score: float) -> tuple[float, int, int]:
+    """Best score as a share of a full match, and the words it covers; 0 if it can't reach min_score. starts: where the item would begin, by each hit, in order."""
     slack = len(item) // 4 + 8
-    windows: list[list[int]] = []
-    for s in np.unique(starts):
-        a, b = max(0, int(s) - slack), min(len(text), int(s) + len(item) + slack)
-        if windows and a <= windows[-1][1]:
-            windows[-1][1] = b
-        else:
-            windows.append([a, b])
+    lo, hi = np.maximum(starts - slack, 0), np.minimum(starts + len(item) + slack, len(text))
+    new = np.flatnonzero(lo[1:] > hi[:-1]) + 1
     found = (0, 0, 0)
-    for a, b in windows:
+    for a, b in zip(lo[np.append(0, new)].tolist(), hi[np.append(new - 1, len(hi) - 1)].tolist(), strict=True):
+        if shared(bag, text[a:b]) < min_score * len(item):
+            continue
         score, end = align(item, text[a:b])
         if score > found[0]:
             found = (score, a, a + end)
     score, a, end = found
+    if not score:
+        return 0.0, 0, 0
     back = align(item[::-1], text[a:end][::-1])[1]
     return score / (MATCH * len(item)), end - back, end
 
@@ -120,15 +117,17 @@ def matches(block: Block, words: np.ndarray, min_score: float) -> list[tuple[int
     at, key = block.hits(words)
     if not len(at):
         return []
-    starts = defaultdict(list)
-    for a, k in zip(at, key, strict=True):
-        for s in range(block.first[k], block.last[k]):
-            starts[block.owner[s]].append(a - block.place[s])
+    n = block.last[key] - block.first[key]
+    s = np.repeat(block.last[key] - np.cumsum(n), n) + np.arange(n.sum())  # places of the hit keys
+    owner, start = block.owner[s], np.repeat(at, n) - block.place[s]
+    order = np.lexsort((start, owner))
+    owner, start = owner[order], start[order]
     out = []
-    for i, s in sorted(starts.items()):
-        score, lo, hi = best_match(block.words[i], words, np.array(s))
+    for o in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1):
+        i = int(owner[o[0]])
+        score, lo, hi = best_match(block.words[i], block.bags[i], words, start[o], min_score)
         if score >= min_score:
-            out.append((int(i), score, lo, hi))
+            out.append((i, score, lo, hi))
     return out
 
 
@@ -138,7 +137,7 @@ def _texts(batch: pa.RecordBatch, hashes: WordHashes) -> Iterator[np.ndarray]:
 
 
 def item_blocks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES, n: int = N) -> Iterator:
-    """Broadcast blocks of the items with their rare seeds, one after another."""
+    """Broadcast blocks of the items, one after another."""
     spark = docs.sparkSession
     bound_batches(spark)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -148,22 +147,6 @@ def item_blocks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTE
         block = Block([(r.item_id, r.text) for r in rows], n)
         if not block.ids:
             continue
-        sent = spark.sparkContext.broadcast(block)
-
-        def count_documents(batches, sent=sent):
-            block, hashes = sent.value, WordHashes()
-            n_docs = np.zeros(len(block.keys), np.int64)
-            for batch in batches:
-                for words in _texts(batch, hashes):
-                    n_docs[np.unique(block.hits(words)[1])] += 1
-            k = np.flatnonzero(n_docs)
-            yield pa.RecordBatch.from_pydict({"k": pa.array(k, pa.int32()), "n": pa.array(n_docs[k], pa.int64())})
-
-        counts = np.zeros(len(block.keys), np.int64)
-        for r in docs.select("text").mapInArrow(count_documents, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():  # a row for each n-gram of the block
-            counts[r.k] = r.n
-        block.rare(counts)
-        sent.destroy()
         yield spark.sparkContext.broadcast(block)
 
 
