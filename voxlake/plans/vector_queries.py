@@ -60,13 +60,22 @@ def j18_v7_nearest_anchor(spark: SparkSession, d: str) -> DataFrame:
     return out.select("segment_id", "anchor", F.round("similarity", 6).alias("similarity"))
 
 
-def v12_v13_intruders(spark: SparkSession, d: str) -> DataFrame:
-    v = _vectors(spark, d).where("source_id < 3")
+def _intruders(v: DataFrame) -> DataFrame:
     cents = vc.weighted_centroids(v.withColumns({"vector": F.col("embedding"), "weight": F.col("duration")}), ["source_id", "label"]).withColumn("person", F.when(F.col("label").isin("S0", "S1"), F.lit(0)).otherwise(F.expr("int(substr(label, 2))")))
     windows = v.select((F.col("segment_id") % 40).alias("segment_id"), "source_id", "label", F.col("segment_id").alias("window"), vc.l2norm(F.col("embedding")).alias("vector"))
     return vc.intruder_stats(windows, cents, 0.1, 0.75)
 
 
+def v12_v13_intruders(spark: SparkSession, d: str) -> DataFrame:
+    """Sources 0 to 2 only, as in its SQL; v12_v13_intruders_all has no such limit."""
+    return _intruders(_vectors(spark, d).where("source_id < 3"))
+
+
+def v12_v13_intruders_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every embedding of every source."""
+    return _intruders(_vectors(spark, d))
+
+
 def _tones(spark: SparkSession) -> DataFrame:
     """Clips of 0.8 s at 1 kHz: bursts of a tone in quiet."""
     clip = spark.range(0, 40).withColumnRenamed("id", "clip_id")
@@ -101,6 +110,7 @@ QUERIES = {
     "v6_centroids": v6_centroids,
     "j18_v7_v15_nearest_anchor": j18_v7_nearest_anchor,
     "v12_v13_intruders": v12_v13_intruders,
+    "v12_v13_intruders_all": v12_v13_intruders_all,
     "x1_signal_metrics": x1_signal_metrics,
     "x2_energy_vad": x2_energy_vad,
     "x24_x27_shaping": x24_x27_shaping,
