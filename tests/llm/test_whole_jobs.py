@@ -2,7 +2,7 @@
 
 import random
 
-from voxlake.llm import decontamination
+from voxlake.llm import decontamination, toxicity
 
 
 def words(rng, n, vocabulary=50_000):
@@ -19,3 +19,13 @@ def test_one_edit_in_hundreds_of_copies_is_found(spark):
     bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
     assert {r["doc_id"] for r in decontamination.find_contamination(docs, bench).collect()} == set(range(701))
     assert [r["doc_id"] for r in decontamination.remove_contaminated(docs, bench).collect()] == [701]
+
+
+def test_rare_terms_and_long_runs_are_in_the_dictionary():
+    rng = random.Random(10)
+    run = b"abhorrent1 beastly22 contempt33 despicab44 execrabl55 flagrant66 grotesqu77"
+    toxic = [" ".join(words(rng, 30, 300)).encode() for _ in range(300)]
+    toxic = [b" " + t + (b" zorblax" if k < 4 else b" " + run if k < 60 else b"") + b" " for k, t in enumerate(toxic)]
+    ordinary = [b" " + " ".join(words(rng, 30, 300)).encode() + b" " for _ in range(3000)]
+    content, _ = toxicity.train_dictionaries(toxic, ordinary)
+    assert b"zorblax" in content and all(w in content for w in run.split())

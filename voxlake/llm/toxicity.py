@@ -1,12 +1,12 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text; every window of
+Two dictionaries are made for zstandard, one of toxic and one of ordinary text; every window of
 ``WINDOW`` words of a text is compressed with either, and the difference in length tells which kind
 of text it is closer to. A logistic model on the differences of a document's windows, fitted on
 labelled documents that its dictionaries have not seen, turns them into a score; 0.5 is its threshold.
 
 A dictionary is made of the byte sequences that are typical of its kind (``GRAM``-byte sequences
-whose share of documents in one class exceeds that in the other by far), cut to words, before a tail
+whose share of documents in one class exceeds that in the other by far), in whole words, before a tail
 that both share, trained on ordinary text: at the same distance in both, what is common to all text
 costs the same in either, and only what is typical of one kind makes a difference.
 
@@ -40,7 +40,7 @@ TYPICAL_BYTES, COMMON_BYTES = 4096, 256
 TOXIC_DOCS, ORDINARY_DOCS = 2000, 4000
 MAX_TRAIN_BYTES = 20_000
 MIN_RATIO = 30.0
-MIN_DOCS, MIN_DOC_SHARE = 3, 0.017
+MIN_DOCS = 3
 _BUCKETS = 1 << 20
 FOLDS = 5
 
@@ -85,7 +85,7 @@ def _typical(texts: list[bytes], mark: np.ndarray, size: int) -> bytes:
         m = mark[_grams(t)]
         edge = np.flatnonzero(np.diff(np.concatenate(([0], m.astype(np.int8), [0]))))
         for a, b in zip(edge[::2], edge[1::2], strict=True):
-            parts = t[a : min(b + GRAM - 1, a + 48)].split(b" ")
+            parts = t[a : b + GRAM - 1].split(b" ")
             for k, p in enumerate(parts):
                 if len(p) >= GRAM - 1:
                     found[b" " * (k > 0) + p + b" " * (k < len(parts) - 1)] += 1
@@ -104,7 +104,6 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     """Contents of the toxic and the ordinary dictionary."""
     n_toxic, n_ordinary = _document_counts(toxic), _document_counts(ordinary)
     ratio = np.log((n_toxic + 0.5) / (len(toxic) + 1)) - np.log((n_ordinary + 0.5) / (len(ordinary) + 1))
-    often = lambda n, texts: n >= max(MIN_DOCS, MIN_DOC_SHARE * len(texts))
     common = b""
     samples = [w for t in ordinary for w in windows(t.split())]
     try:
@@ -112,7 +111,7 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     except zstandard.ZstdError:  # too little text to train on
         common = b"".join(samples)[-COMMON_BYTES:]
     high = np.log(MIN_RATIO)
-    parts = (_typical(toxic, (ratio > high) & often(n_toxic, toxic), TYPICAL_BYTES), _typical(ordinary, (ratio < -high) & often(n_ordinary, ordinary), TYPICAL_BYTES))
+    parts = (_typical(toxic, (ratio > high) & (n_toxic >= MIN_DOCS), TYPICAL_BYTES), _typical(ordinary, (ratio < -high) & (n_ordinary >= MIN_DOCS), TYPICAL_BYTES))
     return tuple(p + common or b" " for p in parts)
 
 
