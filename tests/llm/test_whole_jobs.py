@@ -29,3 +29,11 @@ def test_rare_terms_and_long_runs_are_in_the_dictionary():
     ordinary = [b" " + " ".join(words(rng, 30, 300)).encode() + b" " for _ in range(3000)]
     content, _ = toxicity.train_dictionaries(toxic, ordinary)
     assert b"zorblax" in content and all(w in content for w in run.split())
+
+
+def test_training_reads_whole_texts(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join(words(rng, 6000, 300) + ["scumbag"] * 3 if i % 3 == 0 else words(rng, 60, 300))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert b"scumbag" in model.contents[0]

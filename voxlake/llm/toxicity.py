@@ -11,7 +11,7 @@ that both share, trained on ordinary text: at the same distance in both, what is
 costs the same in either, and only what is typical of one kind makes a difference.
 
 Training reads at most ``TOXIC_DOCS`` toxic and ``ORDINARY_DOCS`` ordinary labelled documents, the first
-by a hash of the id, and of each at most ``MAX_TRAIN_BYTES``; scoring reads whole texts. The sample is
+by a hash of the id, with their whole texts, as scoring does. The sample is
 halved: dictionaries of either half give the windows' differences of the other, on which the logistic
 model is fitted; the dictionaries that score are those of both halves.
 
@@ -38,7 +38,6 @@ LEVEL = 16
 GRAM = 5
 TYPICAL_BYTES, COMMON_BYTES = 4096, 256
 TOXIC_DOCS, ORDINARY_DOCS = 2000, 4000
-MAX_TRAIN_BYTES = 20_000
 MIN_RATIO = 30.0
 MIN_DOCS = 3
 _BUCKETS = 1 << 20
@@ -50,8 +49,8 @@ def is_held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def normalised(text: str | None, most: int | None = None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass")[:most].lower().split()
+def normalised(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
 def windows(words: list[bytes], size: int = WINDOW) -> list[bytes]:
@@ -132,10 +131,10 @@ class Model:
             out.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p))
         return out
 
-    def features(self, text: str | None, compressors: list, most: int | None = None) -> list[float]:
+    def features(self, text: str | None, compressors: list) -> list[float]:
         """Of the windows' bytes saved by the toxic dictionary: the largest, the sum of the three largest, the mean, the scaled sum of clear savings; and the logarithm of the number of windows."""
         toxic, ordinary = compressors
-        w = windows(normalised(text, most))
+        w = windows(normalised(text))
         saved = np.sort([len(ordinary.compress(x)) - len(toxic.compress(x)) for x in w])[::-1]
         return [saved[0], saved[:3].sum(), saved.mean(), np.maximum(saved - 2, 0).sum() / len(w) ** 0.5, np.log(len(w))]
 
@@ -189,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordi
     for kind, most in ((True, toxic_docs), (False, ordinary_docs)):
         part = known.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(most) if n.get(kind, 0) > most else known.where(F.col("toxic") == kind)
         sample = part if sample is None else sample.union(part)
-    rows = docs.select("doc_id", F.substring("text", 1, MAX_TRAIN_BYTES).alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text", order.alias("h")).collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text", order.alias("h")).collect()
     rows.sort(key=lambda r: (r.h, r.doc_id, r.text or ""))
     fold: dict[bool, list[list[str]]] = {True: [[], []], False: [[], []]}
     seen: dict[str, int] = {}
@@ -197,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordi
         t = r.text or ""
         k = seen.setdefault(t, len(seen) % 2)  # a text is in one half only
         fold[r.toxic][k].append(t)
-    join = lambda t: b" " + b" ".join(normalised(t, MAX_TRAIN_BYTES)) + b" "
+    join = lambda t: b" " + b" ".join(normalised(t)) + b" "
     if not (any(fold[True]) and any(fold[False])):
         model = Model(b" ", b" ")
         model.prior = len(fold[True][0] + fold[True][1]) / max(1, len(rows))
@@ -209,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordi
         if all(fold[k][seen_half] for k in kinds):
             half = Model(*train_dictionaries(*([join(t) for t in fold[k][seen_half]] for k in kinds)))
             c = half.compressors()
-            x += [half.features(t, c, MAX_TRAIN_BYTES) for k in kinds for t in fold[k][1 - seen_half]]
+            x += [half.features(t, c) for k in kinds for t in fold[k][1 - seen_half]]
             y += [float(k) for k in kinds for _ in fold[k][1 - seen_half]]
     if x:
         model.fit(np.array(x), np.array(y), n[True] / (n[True] + n[False]))
