@@ -2,7 +2,7 @@
 
 import random
 
-from voxlake.llm import decontamination, toxicity
+from voxlake.llm import decontamination, licenses, toxicity
 
 
 def words(rng, n, vocabulary=50_000):
@@ -37,3 +37,10 @@ def test_training_reads_whole_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
     assert b"scumbag" in model.contents[0]
+
+
+def test_whole_licenses_are_known(spark):
+    texts = licenses.whole_licenses()
+    docs = spark.createDataFrame([(i, "Copyright (c) 2020 Someone\n\n" + t.upper()) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["license_id"] for r in licenses.scan_licenses(docs).collect()}
+    assert found == {i: name for i, (name, _) in enumerate(texts)} and {"Apache-2.0", "GPL-3.0", "MPL-2.0", "Unlicense"} <= set(found.values())

@@ -2,7 +2,8 @@
 
 A text is brought to a canonical form (case, punctuation, copyright lines, equivalent spellings,
 white space) and hashed; a hash join finds the texts, and the single lines, that are a known licence
-or notice as a whole. The known texts pass through the same expressions.
+or notice as a whole. The known texts pass through the same expressions: ``KNOWN`` and the whole
+licences in ``license_texts``, a file each, named after its id.
 
 Only texts and lines that have the length of a known text once respelled are hashed, and those of
 more than 1.5 times the longest are not even respelled: no respelling shortens a text below two
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +88,12 @@ KNOWN = (
 )
 
 
+def whole_licenses() -> list[tuple[str, str]]:
+    """License id and text of the files in license_texts."""
+    texts = (f for f in files("voxlake.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt"))
+    return sorted((f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in texts)
+
+
 def plain(text: Column) -> Column:
     """Lower case, without copyright lines and punctuation; lines stay. Most single spaces are left untouched."""
     t = F.lower(text)
@@ -119,12 +127,17 @@ def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFr
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Every document with the digest of its canonical text (where that is short enough to be a
-    licence), its licence, and the licences whose whole text is one of its lines."""
+    licence), its licence, and the licences whose whole text is one of its lines. By default a digest is
+    shown where the text has the length of one in KNOWN, or is a whole licence."""
     spark = docs.sparkSession
     catalogue = known_digests(spark, known)
+    shown = {r.chars for r in catalogue.select("chars").distinct().collect()}
+    if known is None:
+        more = known_digests(spark, spark.createDataFrame(whole_licenses(), "license_id string, text string"))
+        catalogue = catalogue.unionByName(more).groupBy("digest").agg(F.min("license_id").alias("license_id"), F.first("chars").alias("chars"))
     sizes = {r.chars for r in catalogue.select("chars").distinct().collect()}  # lengths of known texts
     most = max(sizes, default=0)
-    if known is None:  # len(KNOWN) rows
+    if known is None:  # a row for each text in KNOWN and license_texts
         catalogue = F.broadcast(catalogue)
     catalogue = catalogue.drop("chars")
 
@@ -136,9 +149,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     base = docs.select("doc_id", F.xxhash64(text).alias("text_key"), plain(text).alias("plain"))
     short = F.filter(F.split("plain", "\n"), lambda x: F.length(x).between(1, math.ceil(1.5 * most)))
     found = Scratch(spark, "licenses").save(
-        base.select("doc_id", "text_key", F.length("plain").cast("long").alias("n_chars"), digest(folded(F.col("plain"))).alias("digest"), F.filter(F.transform(short, lambda x: digest(F.trim(x))), lambda d: d.isNotNull()).alias("lines")), "digests"
+        base.select("doc_id", "text_key", F.length("plain").cast("long").alias("n_chars"), digest(folded(F.col("plain"))).alias("digest"), F.length(respelled(folded(F.col("plain")))).isin(shown).alias("shown"), F.filter(F.transform(short, lambda x: digest(F.trim(x))), lambda d: d.isNotNull()).alias("lines")), "digests"
     )
-    whole = found.select("doc_id", "text_key", "n_chars", "digest").join(catalogue, "digest", "left")
+    whole = found.select("doc_id", "text_key", "n_chars", "digest", "shown").join(catalogue, "digest", "left")
+    whole = whole.withColumn("digest", F.when(F.col("shown") | F.col("license_id").isNotNull(), F.col("digest"))).drop("shown")
     lines = found.select("doc_id", "text_key", F.explode("lines").alias("digest"))
     notices = lines.join(catalogue, "digest").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("license_id")).alias("notices"))
     notices = notices.withColumnsRenamed({"doc_id": "n_id", "text_key": "n_key"})
