@@ -5,19 +5,21 @@ to find candidates, and folded into a parity bitmap (an Odd sketch): the populat
 of two sketches estimates a high similarity closely, and candidates whose estimate lies more than
 ``SIGMAS`` standard errors under the threshold are dropped. The others are confirmed on full sets.
 
-Texts with equal sets are one class, with the smallest id as representative; only representatives are
-compared. No bucket is expanded into all its pairs: its members are first compared with the bucket's
+Texts with equal sets are one class, named after its smallest id; only classes are compared. Where rows
+share an id, several classes may have one name: each keeps its own set and sketch, and a link to any
+of them is a link to the name. No bucket is expanded into all its pairs: its members are first compared with the bucket's
 smallest member, and confirmed links make components. In buckets whose members then belong to
 several components, the members outside the largest are compared with the others: as candidate pairs
 where the bucket is small, and in blocks of at most ``BLOCK`` x ``BLOCK`` exact set intersections
-where it is large, each block a task's work of its own, so that no link between different texts that
-share a band is lost and no task holds a whole bucket.
+where it is large (of about ``BLOCK_SHINGLES`` shingles, if texts are long), each block a task's work of its own, so that no
+link between different texts that share a band is lost and no task holds a whole bucket.
 
 A pair at the threshold t shares a band with probability 1 - (1 - t**ROWS)**BANDS: a miss has
 probability 1e-9 at 0.85 and 4e-7 at 0.8.
 
 Defined cases: texts without words link with nothing; texts of fewer words than a shingle are one
-shingle; rows that share an id are one document for linking; rows without id take the component of an
+shingle; rows that share an id are one document for linking, whatever their texts, and so in one
+component in any order of rows; rows without id take the component of an
 equal or linked text, else none, and are then kept; further columns are ignored by ``near_duplicates``
 and pass through ``keep_one``; an empty table gives an empty result.
 """
@@ -39,7 +41,7 @@ from voxlake.llm.components import connected_components
 BANDS, ROWS = 28, 4
 SKETCH_WORDS = 8  # of 64 bits
 SIGMAS = 5.5
-SMALL, BLOCK = 16, 1024
+SMALL, BLOCK, BLOCK_SHINGLES = 16, 1024, 2_000_000
 BROADCAST_IDS = 2_000_000  # 8 bytes each
 _CHUNK = 2048  # shingles hashed at a time
 _COLUMNS = 2048  # shingles of a matrix product
@@ -127,10 +129,10 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent:
     """The pairs (a, b) that the sketches let pass and whose sets are similar enough."""
     left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
     right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
-    near = pairs.join(left, "a").join(right, "b").where(differing_bits(F.col("sketch_a"), F.col("sketch_b")) <= most_differing_bits(percent / 100)).select("a", "b")
+    near = pairs.join(left, "a").join(right, "b").where(differing_bits(F.col("sketch_a"), F.col("sketch_b")) <= most_differing_bits(percent / 100)).select("a", "b").distinct()
     both = near.join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
     common = F.size(F.array_intersect("items_a", "items_b"))
-    return both.where(100 * common >= percent * (F.size("items_a") + F.size("items_b") - common)).select("a", "b")
+    return both.where(100 * common >= percent * (F.size("items_a") + F.size("items_b") - common)).select("a", "b").distinct()
 
 
 def block_links(loose: list[tuple[int, int, np.ndarray]], others: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
@@ -176,11 +178,12 @@ def _block(percent: int):
 
 
 def _rest(members: DataFrame, labels: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Links between components that share a bucket. members: bucket, node."""
-    named = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    counts = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    """Links between components that share a bucket. members: bucket, node, n_shingles."""
+    named = members.join(labels, "node", "left").select("bucket", "node", "n_shingles", F.coalesce("label", "node").alias("label"))
+    counts = named.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    largest = F.struct("n", "label")
     mixed = counts.groupBy("bucket").agg(
-        F.sum("n").alias("n_members"), F.count("*").alias("n_labels"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("n_main")
+        F.sum("n").alias("n_members"), F.sum("s").alias("s_members"), F.count("*").alias("n_labels"), F.max_by("label", largest).alias("main"), F.max("n").alias("n_main"), F.max_by("s", largest).alias("s_main")
     )
     mixed = mixed.where("n_labels > 1").drop("n_labels")
     rows = scratch.save(named.join(mixed, "bucket"), "mixed")
@@ -190,8 +193,9 @@ def _rest(members: DataFrame, labels: DataFrame, sketches: DataFrame, sets: Data
     pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & unlike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     found = _confirmed(pairs, sketches, sets, percent)
     many = rows.where(F.col("n_members") > SMALL)
-    blocks_of = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    many = many.withColumn("n_loose", F.col("n_members") - F.col("n_main")).withColumn("n_i", blocks_of("n_loose")).withColumn("n_j", blocks_of("n_members"))
+    blocks_of = lambda n, s: F.greatest(F.ceil(n / BLOCK), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+    many = many.withColumn("n_i", blocks_of(F.col("n_members") - F.col("n_main"), F.col("s_members") - F.col("s_main")))
+    many = many.withColumn("n_j", blocks_of(F.col("n_members"), F.col("s_members")))
     deal = F.xxhash64("node")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     loose = many.where("label <> main").select("bucket", "node", "label", F.lit(0).alias("role"), F.pmod(deal, "n_i").cast("int").alias("i"), upto("n_j").alias("j"))
@@ -208,17 +212,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     features = scratch.save(docs.mapInArrow(_features(n), _FEATURES), "features")
     # a table of its own, so that adaptive execution can split the joins on the key of a text with many copies
     classes = scratch.save(features.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = scratch.save(features.join(classes.where("node IS NOT NULL"), "set_key").where("doc_id = node").select("node", "bands", "sketch").dropDuplicates(["node", "bands"]), "nodes")
-    bands = nodes.select("node", F.posexplode("bands").alias("band", "h")).select("node", F.xxhash64("band", "h").alias("bucket"))
-    buckets = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
-    members = scratch.save(bands.join(buckets, "bucket").select("bucket", "first", "node"), "members")
+    nodes = scratch.save(
+        features.join(classes.where("node IS NOT NULL"), "set_key").where("doc_id = node").select("node", "set_key", "n_shingles", "bands", "sketch").dropDuplicates(["node", "set_key"]), "nodes"
+    )
+    bands = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "h")).select("node", "n_shingles", F.xxhash64("band", "h").alias("bucket"))
+    buckets = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
+    members = scratch.save(bands.join(buckets, "bucket").select("bucket", "first", "node", "n_shingles"), "members")
     wanted = members.select("node").distinct()
-    sets = scratch.save(_by_id(docs, wanted.withColumnRenamed("node", "doc_id"), "left_semi").mapInArrow(_sets(n), "node long, items array<long>").dropDuplicates(["node"]), "sets")
+    sets = scratch.save(_by_id(docs, wanted.withColumnRenamed("node", "doc_id"), "left_semi").mapInArrow(_sets(n), "node long, items array<long>").dropDuplicates(), "sets")
     sketches = nodes.select("node", "sketch")
     stars = members.where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = scratch.save(_confirmed(stars, sketches, sets, percent), "star-links")
+    links = scratch.save(_confirmed(stars, sketches, sets, percent).unionByName(_same_id(features, classes, scratch)), "star-links")
     labels = connected_components(links, scratch, "stars")
-    more = scratch.save(_rest(members.select("bucket", "node").distinct(), labels, sketches, sets, scratch, percent), "more-links")
+    more = scratch.save(_rest(members.groupBy("bucket", "node").agg(F.sum("n_shingles").alias("n_shingles")), labels, sketches, sets, scratch, percent), "more-links")
     labels = connected_components(links.unionByName(more), scratch, "all")
     for name in ("sets", "mixed", "members", "nodes"):
         scratch.drop(name)
@@ -228,6 +234,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     return out.select("doc_id", "n_shingles", "set_key", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _same_id(features: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between the classes of rows that share an id."""
+    twice = features.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x <> y").select("doc_id")
+    twice = scratch.save(twice, "twice")
+    rows = features.join(twice, "doc_id").select("doc_id", "set_key").distinct().join(classes, "set_key").select("doc_id", "node")
+    first = rows.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return rows.join(first, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+
+
 def kept(doc_id: Column, component_id: Column) -> Column:
     return F.coalesce(doc_id == component_id, component_id.isNull())
 
