@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised (A-Z lower-cased, white space folded) and hashed; the distinct documents that
-hold a line are counted per host; lines of more than ``max_docs`` documents of their host are
-boilerplate. A document is depleted, and rejected, if its other lines leave fewer than ``min_words``
+hold a line are counted per host; lines of more than ``max_docs`` documents of their host, and of
+more than ``max_share`` of them, are boilerplate. A document is depleted, and rejected, if its other lines leave fewer than ``min_words``
 words or less than ``min_share`` of its words. Equal texts of a host count as one document (exact
 copies are a matter for deduplication), so a frequent line is one that different texts share.
 
@@ -33,7 +33,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MAX_DOCS = 10
+MAX_DOCS, MAX_SHARE = 10, 0.001
 MIN_SHARE = 0.5
 
 
@@ -78,7 +78,7 @@ def line_hashes(text: str | None) -> tuple[list[int], list[int]]:
 
 
 _FEATURES = (
-    "doc_id long, host string, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "doc_id long, host string, text_key binary, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "lines array<long>, line_words array<int>"
 )
 
@@ -88,31 +88,33 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, lines, sizes = [], [], [], []
         for x in batch.column("text"):
             text = x.as_py()
-            keys.append(xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63))
+            keys.append(xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass")))
             counts.append(text_counts(text))
             hashes, words = line_hashes(text)
             lines.append(hashes)
             sizes.append(words)
-        columns = [batch.column("doc_id").cast(pa.int64()), batch.column("host").cast(pa.string()), pa.array(keys, pa.int64())]
+        columns = [batch.column("doc_id").cast(pa.int64()), batch.column("host").cast(pa.string()), pa.array(keys, pa.binary())]
         columns += [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] if counts else [pa.array([], pa.int64())] * 5
         columns += [pa.array(lines, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _FEATURES.split(", ")])
 
 
-def frequent_lines(texts: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """Lines (key of host and line) of more than max_docs distinct texts of a host."""
-    lines = texts.select(F.explode(F.transform("lines", lambda x: F.xxhash64("host", x))).alias("line"))
-    return lines.groupBy("line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > max_docs)
+def frequent_lines(texts: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """Lines (key of host and line) of more than max_docs, and more than a share, of the distinct texts of a host."""
+    hosts = texts.groupBy("host").agg(F.count("*").alias("n_texts")).withColumnRenamed("host", "n_host")
+    lines = texts.select("host", F.explode(F.transform("lines", lambda x: F.xxhash64("host", x))).alias("line"))
+    counts = lines.groupBy("line").agg(F.first("host").alias("host"), F.count("*").alias("n_docs")).where(F.col("n_docs") > max_docs)
+    return counts.join(hosts, F.col("host").eqNullSafe(F.col("n_host"))).where(F.col("n_docs") > max_share * F.col("n_texts")).select("line", "n_docs")
 
 
-def score_documents(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> DataFrame:
     """Counts, removed words and verdict of every document."""
     scratch = Scratch(docs.sparkSession, "lines")
     features = scratch.save(docs.select("doc_id", F.col(host).alias("host"), "text").mapInArrow(_features, _FEATURES), "features")
     texts = features.where(F.size("lines") > 0).groupBy("host", "text_key").agg(F.first("lines").alias("lines"), F.first("line_words").alias("line_words"))
     pairs = texts.select("host", "text_key", F.explode(F.arrays_zip(F.transform("lines", lambda x: F.xxhash64("host", x)).alias("line"), F.col("line_words").alias("words"))).alias("x"))
     pairs = pairs.select("host", "text_key", F.col("x.line").alias("line"), F.col("x.words").alias("words"))
-    removed = pairs.join(frequent_lines(texts, max_docs), "line").groupBy("host", "text_key").agg(F.sum("words").alias("removed"))
+    removed = pairs.join(frequent_lines(texts, max_docs, max_share), "line").groupBy("host", "text_key").agg(F.sum("words").alias("removed"))
     left = features.drop("lines", "line_words").alias("f")
     right = removed.withColumnsRenamed({"host": "r_host", "text_key": "r_key"})
     out = left.join(right, (F.col("text_key") == F.col("r_key")) & F.col("host").eqNullSafe(F.col("r_host")), "left")
@@ -151,7 +153,8 @@ grams AS (
     len(regexp_extract_all(l, '{WORD}')) AS words
   FROM (SELECT source, text, unnest(ls) AS l FROM texts)
 ), frequent AS (
-  SELECT source, line FROM lines GROUP BY ALL HAVING count(DISTINCT text) > {MAX_DOCS}
+  SELECT l.source, line FROM lines l JOIN (SELECT source, count(*) AS n FROM texts WHERE len(ls) > 0 GROUP BY source) h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, line, h.n HAVING count(DISTINCT text) > {MAX_DOCS} AND count(DISTINCT text) > {MAX_SHARE} * h.n
 ), removed AS (
   SELECT l.source, l.text, sum(l.words)::BIGINT AS n FROM lines l JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line GROUP BY ALL
 ), s AS (
