@@ -2,12 +2,17 @@
 
 Records hash into thousands of slots that never change. Bytes are summed per slot, and a map from
 slots to shards, kept as a versioned table, decides where a slot lives. Rebalancing and growing edit
-the map: slots move whole, and every version stays readable. Only the slot table (``n_slots`` rows,
+the map: slots move whole, and every version stays readable. A corpus is sharded by the latest
+version in the stored map: the first run places the slots, later ones edit what they find only if its
+shards have grown uneven, so that most records stay where they are. Only the slot table (``n_slots`` rows,
 a parameter) comes to the driver, whatever the number of records.
 
+The slot of a record comes from its id and text together, so that repeated or missing ids spread.
+
 Defined cases: a null text counts no bytes and has checksum 0; a null id is hashed like any other
 value; equal rows fall into one slot and get places of their own; an empty table gives an empty
-result; further columns are ignored.
+result; further columns are ignored by ``shard_records`` and kept by ``shard_documents``, which puts
+an underscore after its own where a column has that name already.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voxlake.llm.common import Scratch
+
 N_SLOTS = 4096
 RECORD_OVERHEAD = 8
 
@@ -50,6 +57,23 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Slot
     return SlotMap([r.shard for r in rows], rows[0].n_shards, version)
 
 
+def current_map(spark: SparkSession, path: str, slot_bytes: list[int], n_shards: int, tolerance: float = 0.01) -> SlotMap:
+    """The latest stored version, edited and stored as the next one if its shards differ by more than
+    ``tolerance`` of the mean or in number; where none is stored, a first one is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        old = load_map(spark, path)
+        if len(old.shards) != len(slot_bytes):
+            raise ValueError(f"the map at {path} has {len(old.shards)} slots; the number of slots is fixed")
+        new = rebalance(old, slot_bytes, n_shards, tolerance)
+        if not new.moved and new.n_shards == old.n_shards:
+            return old
+    else:
+        new = place_slots(slot_bytes, n_shards)
+    new.save(spark, path)
+    return load_map(spark, path)
+
+
 def place_slots(slot_bytes: list[int], n_shards: int) -> SlotMap:
     """A first map: the largest slots first, each into the lightest shard; empty slots in turn."""
     load = [(0, 0, d) for d in range(n_shards)]
@@ -141,19 +165,17 @@ def shard_records(
 ) -> tuple[DataFrame, SlotMap]:
     """Every record with size, text_crc32, virtual_slot, shard and its place in the shard.
 
-    Without ``slot_map`` a map is made from the bytes of the slots; ``map_path`` stores it. A place is
-    the number of rows in earlier slots of the shard plus the rank in the slot, so that no task sorts
-    a whole shard.
+    The map is ``slot_map``, else the latest version at ``map_path`` (by default a new folder), made or
+    edited there as ``current_map`` says. A place is the number of rows in earlier slots of the shard
+    plus the rank in the slot, so that no task sorts a whole shard.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     records = docs.select(
-        "doc_id", record_bytes(F.col("text")).alias("size"), F.crc32(text).alias("text_crc32"), virtual_slot([F.col("doc_id")], n_slots).alias("virtual_slot")
+        "doc_id", record_bytes(F.col("text")).alias("size"), F.crc32(text).alias("text_crc32"), virtual_slot([F.col("doc_id"), text], n_slots).alias("virtual_slot")
     )
     size, rows = slot_totals(records.select("virtual_slot", "size"), n_slots)
-    slot_map = slot_map or place_slots(size, n_shards)
-    if map_path:
-        slot_map.save(spark, map_path)
+    slot_map = slot_map or current_map(spark, map_path or Scratch(spark, "slots").path("map"), size, n_shards)
     start, first = [0] * slot_map.n_shards, []
     for s, d in enumerate(slot_map.shards):
         first.append((s, d, start[d]))
@@ -164,18 +186,23 @@ def shard_records(
     return out.select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("first") + F.col("rank") - 1).alias("slot")), slot_map
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS) -> DataFrame:
-    """Documents with their virtual_slot and shard, for writing by shard; columns of these names are replaced."""
+def shard_documents(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
+    """Documents with their virtual_slot and shard, for writing by shard, by the map at ``map_path`` as in ``shard_records``."""
     spark = docs.sparkSession
-    names = [c for c in docs.columns if c not in ("virtual_slot", "shard")]
-    keyed = docs.select(F.struct(*names).alias("row"), virtual_slot([F.col("doc_id")], n_slots).alias("virtual_slot"), record_bytes(F.col("text")).alias("size"))
+    names = {}
+    for own in ("virtual_slot", "shard"):
+        while own.lower() in {c.lower() for c in docs.columns}:
+            own += "_"
+        names[own.rstrip("_")] = own
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), virtual_slot([F.col("doc_id"), F.coalesce("text", F.lit(""))], n_slots).alias("virtual_slot"), record_bytes(F.col("text")).alias("size"))
     size, _ = slot_totals(keyed.select("virtual_slot", "size"), n_slots)
-    places = place_slots(size, n_shards).frame(spark).select("virtual_slot", "shard")
-    return keyed.join(F.broadcast(places), "virtual_slot").select("row.*", "virtual_slot", "shard")
+    places = current_map(spark, map_path or Scratch(spark, "slots").path("map"), size, n_shards).frame(spark).select("virtual_slot", "shard")
+    out = keyed.join(F.broadcast(places), "virtual_slot")  # n_slots rows, a parameter
+    return out.select("row.*", *(F.col(a).alias(b) for a, b in names.items()))
 
 
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards 0 to 23 of nearly equal bytes."""
+    """All documents in shards 0 to 23 of nearly equal bytes, by a stored map."""
     out, _ = shard_records(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot"
