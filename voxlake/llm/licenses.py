@@ -5,12 +5,12 @@ white space) and hashed; a hash join finds the texts, and the single lines, that
 or notice as a whole. The known texts pass through the same expressions: ``KNOWN`` and the whole
 licences in ``license_texts``, a file each, named after its id.
 
-Only texts and lines that have the length of a known text once respelled are hashed, and those of
+Every text is hashed. Of the lines only those that have the length of a known text once respelled are, and those of
 more than 1.5 times the longest are not even respelled: no respelling shortens a text below two
 thirds, so that the limits drop no match. ``known`` is a
 catalogue; Spark broadcasts it only below its size threshold.
 
-Defined cases: a null or empty text has no licence; equal rows get equal results; a line that several
+Defined cases: a null or empty text has the digest of an empty one and no licence; equal rows get equal results; a line that several
 licences share reports the first id; further columns are ignored; an empty table gives an empty result.
 """
 
@@ -119,22 +119,16 @@ def respelled(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
     """digest, license_id, chars of the known texts, one row per digest."""
-    known = known if known is not None else spark.createDataFrame(KNOWN, "license_id string, text string")
+    known = known if known is not None else spark.createDataFrame([*KNOWN, *whole_licenses()], "license_id string, text string")
     text = respelled(folded(plain(F.col("text"))))
     rows = known.select("license_id", F.sha2(text, 256).alias("digest"), F.length(text).alias("chars"))
     return rows.groupBy("digest").agg(F.min("license_id").alias("license_id"), F.first("chars").alias("chars"))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Every document with the digest of its canonical text (where that is short enough to be a
-    licence), its licence, and the licences whose whole text is one of its lines. By default a digest is
-    shown where the text has the length of one in KNOWN, or is a whole licence."""
+    """Every document with the digest of its canonical text, its licence, and the licences whose whole text is one of its lines."""
     spark = docs.sparkSession
     catalogue = known_digests(spark, known)
-    shown = {r.chars for r in catalogue.select("chars").distinct().collect()}
-    if known is None:
-        more = known_digests(spark, spark.createDataFrame(whole_licenses(), "license_id string, text string"))
-        catalogue = catalogue.unionByName(more).groupBy("digest").agg(F.min("license_id").alias("license_id"), F.first("chars").alias("chars"))
     sizes = {r.chars for r in catalogue.select("chars").distinct().collect()}  # lengths of known texts
     most = max(sizes, default=0)
     if known is None:  # a row for each text in KNOWN and license_texts
@@ -149,10 +143,9 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     base = docs.select("doc_id", F.xxhash64(text).alias("text_key"), plain(text).alias("plain"))
     short = F.filter(F.split("plain", "\n"), lambda x: F.length(x).between(1, math.ceil(1.5 * most)))
     found = Scratch(spark, "licenses").save(
-        base.select("doc_id", "text_key", F.length("plain").cast("long").alias("n_chars"), digest(folded(F.col("plain"))).alias("digest"), F.length(respelled(folded(F.col("plain")))).isin(shown).alias("shown"), F.filter(F.transform(short, lambda x: digest(F.trim(x))), lambda d: d.isNotNull()).alias("lines")), "digests"
+        base.select("doc_id", "text_key", F.length("plain").cast("long").alias("n_chars"), F.sha2(respelled(folded(F.col("plain"))), 256).alias("digest"), F.filter(F.transform(short, lambda x: digest(F.trim(x))), lambda d: d.isNotNull()).alias("lines")), "digests"
     )
-    whole = found.select("doc_id", "text_key", "n_chars", "digest", "shown").join(catalogue, "digest", "left")
-    whole = whole.withColumn("digest", F.when(F.col("shown") | F.col("license_id").isNotNull(), F.col("digest"))).drop("shown")
+    whole = found.select("doc_id", "text_key", "n_chars", "digest").join(catalogue, "digest", "left")
     lines = found.select("doc_id", "text_key", F.explode("lines").alias("digest"))
     notices = lines.join(catalogue, "digest").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("license_id")).alias("notices"))
     notices = notices.withColumnsRenamed({"doc_id": "n_id", "text_key": "n_key"})
@@ -180,15 +173,13 @@ def _sql() -> str:
         return t
 
     fold = lambda t: f"trim(replace({t}, chr(10), ' '))"
-    values = ", ".join(f"('{q(i)}', '{q(t)}')" for i, t in KNOWN)
+    values = ", ".join(f"('{q(i)}', '{q(t)}')" for i, t in (*KNOWN, *whole_licenses()))
     return f"""
 WITH k0 AS (SELECT v.id AS license_id, {respelled_sql(fold(plain_sql('v.t')))} AS t FROM (VALUES {values}) v(id, t)),
 k AS (SELECT sha256(t) AS digest, min(license_id) AS license_id FROM k0 GROUP BY 1),
-sizes AS (SELECT list(DISTINCT length(t)) AS s, 1.5 * max(length(t)) AS hi FROM k0),
 d AS (SELECT row_number() OVER () AS r, doc_id, {plain_sql("coalesce(text, '')")} AS p FROM documents),
-whole AS (SELECT r, doc_id, length(p)::BIGINT AS n_chars, CASE WHEN list_contains(s, length(u)) AND length(f) <= hi THEN sha256(u) END AS digest
-  FROM (SELECT *, {fold('p')} AS f, {respelled_sql(fold('p'))} AS u FROM d), sizes),
-lines AS (SELECT r, sha256(u) AS digest FROM (SELECT r, {respelled_sql('l')} AS u FROM (SELECT r, trim(unnest(string_split(p, chr(10)))) AS l FROM d)), sizes WHERE list_contains(s, length(u))),
+whole AS (SELECT r, doc_id, length(p)::BIGINT AS n_chars, sha256({respelled_sql(fold('p'))}) AS digest FROM d),
+lines AS (SELECT r, sha256({respelled_sql('l')}) AS digest FROM (SELECT r, trim(unnest(string_split(p, chr(10)))) AS l FROM d) WHERE l <> ''),
 n AS (SELECT r, array_to_string(list_sort(list(DISTINCT license_id)), ';') AS notices FROM lines JOIN k USING (digest) GROUP BY r)
 SELECT doc_id, n_chars, digest, license_id, coalesce(notices, '') AS notices FROM whole LEFT JOIN k USING (digest) LEFT JOIN n USING (r)
 """
