@@ -1,32 +1,33 @@
 """Toxicity by compression distance.
 
-Two dictionaries are made for zstandard, one of toxic and one of ordinary text; every window of
+Two dictionaries are trained by zstandard, one on toxic and one on ordinary text; every window of
 ``WINDOW`` words of a text is compressed with either, and the difference in length tells which kind
 of text it is closer to. A logistic model on the differences of a document's windows, fitted on
 labelled documents that its dictionaries have not seen, turns them into a score; 0.5 is its threshold.
 
-A dictionary is made of the byte sequences that are typical of its kind (``GRAM``-byte sequences
-whose share of documents in one class exceeds that in the other by far), in whole words, before a tail
-that both share, trained on ordinary text: at the same distance in both, what is common to all text
-costs the same in either, and only what is typical of one kind makes a difference.
+The trainer's samples of a class are those words of its texts that are typical of it (``GRAM``-byte
+sequences whose share of documents in one class exceeds that in the other by far), ``JOINED`` in a row;
+from whole texts it would pick what is common to all text, which tells nothing. What it makes of them stands, without
+its header, before a tail that both share, trained on ordinary text: at the same distance in both,
+what is common costs the same in either, and only what is typical of one kind makes a difference.
 
 Training reads at most ``TOXIC_DOCS`` toxic and ``ORDINARY_DOCS`` ordinary labelled documents, the first
-by a hash of the id, with their whole texts, as scoring does. The sample is
-halved: dictionaries of either half give the windows' differences of the other, on which the logistic
-model is fitted; the dictionaries that score are those of both halves.
+by a hash of the id, with their whole texts, as scoring does. The sample is halved by a hash of the
+text: dictionaries of either half give the windows' differences of the other, on which the logistic
+model is fitted; the dictionaries that score are those of both halves. The three trainings are tasks;
+the driver gets their dictionaries and differences only.
 
 Defined cases: a null or empty text scores as a text of one empty window; without labels of both
-kinds every score is the share of toxic labels; conflicting labels of a document both count; equal
-texts score equal; further columns are ignored by ``score_documents`` and pass through ``keep_ordinary``;
-empty tables give empty results.
+kinds every score is the share of toxic labels; conflicting labels of a document both count; of
+labelled rows that share an id the smallest text is learned; equal texts score equal; further columns
+are ignored by ``score_documents`` and pass through ``keep_ordinary``; empty tables give empty results.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,9 @@ from voxlake.llm.common import bound_batches
 WINDOW = 32
 LEVEL = 16
 GRAM = 5
-TYPICAL_BYTES, COMMON_BYTES = 4096, 256
+DICTIONARY_BYTES, COMMON_BYTES = 2048, 256
+COVER = {"k": 16, "d": 8}  # the trainer's segments and what it counts in them, in bytes
+JOINED = 4
 TOXIC_DOCS, ORDINARY_DOCS = 2000, 4000
 MIN_RATIO = 30.0
 MIN_DOCS = 3
@@ -77,40 +80,39 @@ def _document_counts(texts: list[bytes]) -> np.ndarray:
     return n
 
 
-def _typical(texts: list[bytes], mark: np.ndarray, size: int) -> bytes:
-    """The marked parts of the texts cut to words, the most frequent last (nearest to what follows)."""
-    found: Counter[bytes] = Counter()
+def _samples(texts: list[bytes], mark: np.ndarray) -> list[bytes]:
+    """The marked parts of the texts cut to words, a few in each sample."""
+    found: list[bytes] = []
     for t in texts:
-        m = mark[_grams(t)]
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], m.astype(np.int8), [0]))))
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], mark[_grams(t)].astype(np.int8), [0]))))
         for a, b in zip(edge[::2], edge[1::2], strict=True):
             parts = t[a : b + GRAM - 1].split(b" ")
-            for k, p in enumerate(parts):
-                if len(p) >= GRAM - 1:
-                    found[b" " * (k > 0) + p + b" " * (k < len(parts) - 1)] += 1
-    out: list[bytes] = []
-    held = b""
-    for part, _ in sorted(found.items(), key=lambda x: (-x[1], x[0])):
-        if len(held) + len(part) > size:
-            break
-        if part not in held:
-            out.append(part)
-            held += part
-    return b"".join(reversed(out))
+            found += [b" " * (k > 0) + p + b" " * (k < len(parts) - 1) for k, p in enumerate(parts) if len(p) >= GRAM - 1]
+    return [b"".join(found[k : k + JOINED]) for k in range(0, len(found), JOINED)]
+
+
+def _trained(samples: list[bytes]) -> bytes:
+    """What zstandard's trainer picks from the samples, without the header of its dictionary."""
+    try:
+        made = zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=3, **COVER).as_bytes()
+    except zstandard.ZstdError:  # too little to train on: all of it
+        return b"".join(dict.fromkeys(samples))[-DICTIONARY_BYTES:]
+    whole = b"\0".join(samples)
+    start = next((k for k in range(8, len(made)) if made[k : k + COVER["d"] + 2] in whole), 0)
+    return made[start:]
 
 
 def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """Contents of the toxic and the ordinary dictionary."""
     n_toxic, n_ordinary = _document_counts(toxic), _document_counts(ordinary)
     ratio = np.log((n_toxic + 0.5) / (len(toxic) + 1)) - np.log((n_ordinary + 0.5) / (len(ordinary) + 1))
-    common = b""
     samples = [w for t in ordinary for w in windows(t.split())]
     try:
         common = zstandard.train_dictionary(16384, samples, level=3).as_bytes()[-COMMON_BYTES:]
     except zstandard.ZstdError:  # too little text to train on
         common = b"".join(samples)[-COMMON_BYTES:]
     high = np.log(MIN_RATIO)
-    parts = (_typical(toxic, (ratio > high) & (n_toxic >= MIN_DOCS), TYPICAL_BYTES), _typical(ordinary, (ratio < -high) & (n_ordinary >= MIN_DOCS), TYPICAL_BYTES))
+    parts = (_trained(_samples(toxic, (ratio > high) & (n_toxic >= MIN_DOCS))), _trained(_samples(ordinary, (ratio < -high) & (n_ordinary >= MIN_DOCS))))
     return tuple(p + common or b" " for p in parts)
 
 
@@ -182,39 +184,53 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, ordi
     bound_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).select("doc_id", (F.col("toxic") > 0).alias("toxic"))
     n = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    # by id hash, so that texts are read of a bounded sample only; the order among them is that of the hash
+    if len(n) < 2:
+        model = Model(b" ", b" ")
+        model.prior = float(True in n)
+        return model
+    share = n[True] / (n[True] + n[False])
+    # by id hash, so that texts are read of a bounded sample only
     order = F.xxhash64("doc_id")
     sample = None
     for kind, most in ((True, toxic_docs), (False, ordinary_docs)):
-        part = known.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(most) if n.get(kind, 0) > most else known.where(F.col("toxic") == kind)
+        part = known.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(most) if n[kind] > most else known.where(F.col("toxic") == kind)
         sample = part if sample is None else sample.union(part)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text", order.alias("h")).collect()
-    rows.sort(key=lambda r: (r.h, r.doc_id, r.text or ""))
-    fold: dict[bool, list[list[str]]] = {True: [[], []], False: [[], []]}
-    seen: dict[str, int] = {}
-    for r in rows:
-        t = r.text or ""
-        k = seen.setdefault(t, len(seen) % 2)  # a text is in one half only
-        fold[r.toxic][k].append(t)
-    join = lambda t: b" " + b" ".join(normalised(t)) + b" "
-    if not (any(fold[True]) and any(fold[False])):
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    texts = texts.select("toxic", "text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half"), F.explode(F.array(*map(F.lit, _TRAININGS))).alias("training"))
+    made = {r.training: r for r in texts.groupBy("training").applyInArrow(_training, "training int, toxic binary, ordinary binary, differences array<array<double>>, labels array<double>").collect()}
+    if _WHOLE not in made or not made[_WHOLE].toxic:
         model = Model(b" ", b" ")
-        model.prior = len(fold[True][0] + fold[True][1]) / max(1, len(rows))
+        model.prior = share
         return model
-    kinds = (True, False)
-    model = Model(*train_dictionaries(*([join(t) for half in fold[k] for t in half] for k in kinds)))
-    x, y = [], []
-    for seen_half in (0, 1):
-        if all(fold[k][seen_half] for k in kinds):
-            half = Model(*train_dictionaries(*([join(t) for t in fold[k][seen_half]] for k in kinds)))
-            c = half.compressors()
-            x += [half.features(t, c) for k in kinds for t in fold[k][1 - seen_half]]
-            y += [float(k) for k in kinds for _ in fold[k][1 - seen_half]]
-    if x:
-        model.fit(np.array(x), np.array(y), n[True] / (n[True] + n[False]))
+    model = Model(made[_WHOLE].toxic, made[_WHOLE].ordinary)
+    x, y = ([v for k in _TRAININGS if k in made for v in made[k][c]] for c in ("differences", "labels"))
+    model.fit(np.array(x).reshape(-1, 5), np.array(y), share)
     return model
 
 
+_WHOLE = 2
+_TRAININGS = (0, 1, _WHOLE)  # the half that is learned, or both
+
+
+def _training(table: pa.Table) -> pa.Table:
+    """Dictionaries of one training, and the differences they give for the half they have not seen. Its texts are a bounded sample."""
+    k = table.column("training")[0].as_py()
+    # in the order of a hash: the trainer picks from each stretch of the samples, which should all be alike
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("text", "toxic", "half")), strict=True), key=lambda r: (xxhash.xxh3_64_intdigest(r[0].encode("utf-8", "surrogatepass")), r))
+    learned = {t: [b" " + b" ".join(normalised(x)) + b" " for x, toxic, half in rows if toxic == t and k in (half, _WHOLE)] for t in (True, False)}
+    contents, x, y = (b"", b""), [], []
+    if learned[True] and learned[False]:
+        contents = train_dictionaries(learned[True], learned[False])
+        model = Model(*contents)
+        c = model.compressors()
+        for text, toxic, half in rows:
+            if k not in (half, _WHOLE):
+                x.append([float(v) for v in model.features(text, c)])
+                y.append(float(toxic))
+    kind = pa.list_(pa.list_(pa.float64()))
+    return pa.table({"training": pa.array([k], pa.int32()), "toxic": pa.array([contents[0]], pa.binary()), "ordinary": pa.array([contents[1]], pa.binary()), "differences": pa.array([x], kind), "labels": pa.array([y], pa.list_(pa.float64()))})
+
+
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and predicted of every document."""
 
