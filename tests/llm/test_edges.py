@@ -49,7 +49,8 @@ def test_sharding(docs):
         assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
     assert all(r["size"] == 8 and r["text_crc32"] == 0 for r in rows if r["doc_id"] in (2, 3))
     dealt = sharding.shard_documents(docs)
-    assert dealt.columns.count("shard") == 1 and ids(dealt) == expected(docs)
+    assert dealt.columns == [*docs.columns, "virtual_slot_", "shard_"] and ids(dealt) == expected(docs)
+    assert all((r["shard"], r["virtual_slot"]) == (3, 4) and 0 <= r["shard_"] < 24 for r in dealt.collect())
 
 
 def test_mixing(docs):
@@ -117,20 +118,20 @@ def test_language_model(docs, spark):
 
 def test_fixity(spark):
     schema = "page_id long, url string, html string, file int, node long"
-    for rows in ([], [(1, "u", "x", 1, 1), (1, "u", "x", 1, 1), (None, None, None, 1, 1), (2, "v", "y" * 100_000, 1, 1)]):
-        pages = spark.createDataFrame(rows, schema)
-        record = fixity.warc_record(F.col("url"), F.col("html"))
-        stored = fixity.lay_out(pages.select(F.col("page_id").alias("record_id"), F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest")), 1 << 16)
-        trees = fixity.build_trees({"a": stored, "b": stored.where("record_id IS NULL OR record_id <> 2")}, Scratch(spark, "fix"))
-        found = fixity.mismatches(trees["a"], trees["b"])
-        assert found.count() == (1 if rows else 0)
-        assert fixity.mismatches(trees["a"], trees["a"]).isEmpty()
+    for rows in ([], [(1, "u", "x", 1, 1), (1, "u", "x", 1, 1), (None, None, None, 1, 1), (2, "v\r\nw", "y" * 100_000, 1, 1)]):
+        pages = spark.createDataFrame(rows, schema).withColumn("record_id", fixity.record_urn(F.col("page_id"), F.col("url"), F.col("html")))
+        records = fixity._records(pages, "a").unionByName(fixity._records(pages.where("page_id IS NULL OR page_id <> 2"), "b"))
+        leaves = fixity.lay_out(records, fixity.file_count(records, 1 << 16))
+        archive = fixity.Archive(leaves, Scratch(spark, "fix"))
+        found = archive.mismatches("a", "b").collect()
+        assert [(r["page_id"], r["status"]) for r in found] == ([(2, "lost")] if rows else [])
+        assert archive.mismatches("a", "a", "same").isEmpty()
 
 
 def test_perspectives(spark):
-    schema = "conv_id long, turn long, role string, text string, segment long, mask string"
-    rows = [(1, 0, "ann", "hi", 1, "m"), (1, 1, "bob", None, 1, "m"), (1, 1, "bob", None, 1, "m"), (1, None, None, "x", 1, "m"), (None, 0, "ann", "", 1, "m"), (2, 0, "system", "s", 1, "m")]
+    schema = "conv_id long, turn long, role string, text string, part long, mask string"
+    rows = [(1, 0, "ann", "hi", 1, "m"), (1, 1, "bob", None, 1, "m"), (1, 1, "bob", None, 1, "m"), (1, None, None, "x", 1, "m"), (None, 0, "ann", "", 1, "m"), (2, 0, "system", "s", 1, "m"), (3, 0, "ann", LONG * 6, 1, "m"), (3, 1, "bob", "y", 1, "m")]
     out = perspectives.rotate_perspectives(spark.createDataFrame(rows, schema)).collect()
-    assert {(r["conv_id"], r["segment"], r["participant"]) for r in out} == {(1, s, p) for s in (-1, 0) for p in ("ann", "bob", "unknown")} | {(None, 0, "ann")}
-    assert next(r for r in out if (r["conv_id"], r["segment"], r["participant"]) == (1, 0, "bob"))["n_own_turns"] == 2
+    assert {(r["conv_id"], r["part"], r["participant"]) for r in out} == {(1, 0, p) for p in ("ann", "bob", "unknown")} | {(None, 0, "ann")} | {(3, 0, "ann"), (3, 0, "bob")} | {(3, len(LONG * 6) // perspectives.PART_BYTES, p) for p in ("ann", "bob")}
+    assert next(r for r in out if (r["conv_id"], r["participant"]) == (1, "bob"))["n_own_turns"] == 2
     assert perspectives.rotate_perspectives(spark.createDataFrame([], schema)).isEmpty()

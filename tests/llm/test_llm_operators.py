@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
 import collections
+import hashlib
 import math
 import os
 import random
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from voxlake.llm import components, decontamination, fixity, licenses, line_rules, mixing, neardup, ngram_lm, registry, sharding, toxicity
+from voxlake.llm import components, decontamination, fixity, licenses, line_rules, mixing, neardup, ngram_lm, perspectives, registry, sharding, toxicity
 from voxlake.llm.common import Scratch
 from voxlake.llm.elias_fano import EliasFano, pack, unpack
 
@@ -74,6 +75,7 @@ def brute_components(texts, n, percent):
 def test_near_duplicates_match_brute_force(spark, monkeypatch, n, percent):
     """Groups with copies at all distances, one large, so that stars, small buckets and blocks all have work."""
     monkeypatch.setattr(neardup, "BLOCK", 32)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 2000)
     rng = random.Random(n)
     texts = {}
     for group, size in enumerate((150, 12, 12, 6)):
@@ -91,6 +93,15 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, n, percent):
     assert {r["doc_id"]: r["n_shingles"] for r in out} == sizes
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_rows_that_share_an_id_lose_no_link(spark, turned):
+    rng = random.Random(21)
+    a, b, c = ([*words(rng, 60)] for _ in range(3))
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, " ".join([*a[:-1], "x"])), (9, " ".join([*b[:-1], "y"])), (3, " ".join(c)), (11, " ".join([*c[:-1], "z"])), (11, "alone " * 3 + "again")]
+    out = neardup.near_duplicates(spark.createDataFrame(rows[::-1] if turned else rows, "doc_id long, text string").coalesce(1), 3, 85).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in out} == {(5, 5), (7, 5), (9, 5), (3, 3), (11, 3)}
+
+
 def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
     limit = neardup.most_differing_bits(0.85)
@@ -175,6 +186,43 @@ def test_shards_are_even_and_the_map_is_versioned(spark, tmp_path):
     assert sharding.load_map(spark, path).shards == again.shards and sharding.load_map(spark, path, 1).shards == slots.shards
 
 
+def test_a_grown_corpus_moves_few_slots(spark, tmp_path):
+    rng = random.Random(15)
+    rows = [(i, "x" * rng.choice((10, 100, 1000))) for i in range(6000)]
+    path = f"file://{tmp_path}/map"
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, text string")
+    first = {r["doc_id"]: r["shard"] for r in sharding.shard_records(frame(rows), 8, map_path=path)[0].collect()}
+    again, slots = sharding.shard_records(frame(rows), 8, map_path=path)
+    assert slots.version == 1 and {r["doc_id"]: r["shard"] for r in again.collect()} == first
+    grown, slots = sharding.shard_records(frame(rows + [(6000 + i, "y" * 3000) for i in range(60)]), 9, map_path=path)
+    after = {r["doc_id"]: r["shard"] for r in grown.collect()}
+    assert slots.version == 2 and 8 in after.values() and sum(after[i] != s for i, s in first.items()) < 0.25 * len(first)
+
+
+@needs_data
+def test_op5_matches_brute_force(spark):
+    """Every column but the choice of shards, which the law binds: sizes near equal, places gapless, equal slots together."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = registry.queries()["op5_virtual_slots"](spark, SF).collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(texts)
+    load, places, home = collections.Counter(), collections.defaultdict(list), {}
+    for r in out:
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 8, zlib.crc32(raw), "bytes", None)
+        load[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+        assert home.setdefault(r["virtual_slot"], r["shard"]) == r["shard"] and 0 <= r["virtual_slot"] < sharding.N_SLOTS
+    assert set(load) <= set(range(24)) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    # longest-first placement of the slots by brute force reaches no better balance
+    slot_bytes = collections.Counter()
+    for r in out:
+        slot_bytes[r["virtual_slot"]] += r["size"]
+    bins = [0] * 24
+    for n in sorted(slot_bytes.values(), reverse=True):
+        bins[bins.index(min(bins))] += n
+    assert sorted(load[s] for s in range(24)) == sorted(bins)
+
+
 # -- decontamination -----------------------------------------------------------------------
 
 
@@ -282,17 +330,33 @@ def test_held_out_accuracy(spark):
 
 
 def test_corruption_is_located(spark):
-    rows = [(i, f"{i:064x}", 100 + i % 7) for i in range(3000)]
-    stored = Scratch(spark, "fx").save(
-        fixity.lay_out(spark.createDataFrame(rows, "record_id long, digest string, length long"), 40_000), "stored"
-    )
-    bad = {5, 700, 701, 2999}
-    other = stored.withColumn("digest", F.when(F.col("record_id").isin(*bad), F.sha2("digest", 256)).otherwise(F.col("digest")))
-    trees = fixity.build_trees({"a": stored, "b": other}, Scratch(spark, "fx"), 8)
-    found = fixity.mismatches(trees["a"], trees["b"]).join(stored.select("file", "position", "record_id", "offset", "length"), ["file", "position"]).collect()
-    assert {r["record_id"] for r in found} == bad and all(r["lo"] == r["offset"] and r["hi"] == r["offset"] + r["length"] for r in found)
-    assert trees["a"].root() != trees["b"].root()
-    assert fixity.build_trees({"a": stored}, Scratch(spark, "fx2"), 8)["a"].root() == trees["a"].root()
+    rng = random.Random(12)
+    rows = {f"r{i}": (f"{i:064x}", 100 + i % 7, 1 + (i % 50 == 0)) for i in range(3000)}
+    other = dict(rows)
+    for i in (5, 701):
+        other[f"r{i}"] = ("f" * 64, rows[f"r{i}"][1] + i % 2, 1)
+    del other["r700"], other["r2999"]
+    other["r100"] = (*rows["r100"][:2], 1)  # one of two copies
+    other["new"] = ("e" * 64, 77, 1)
+    records = [(r, k, int(k[1:]) if k != "new" else -1, n, d) for r, part in (("a", rows), ("b", other)) for k, (d, n, copies) in part.items() for _ in range(copies)]
+    rng.shuffle(records)
+    leaves = Scratch(spark, "fx").save(fixity.lay_out(spark.createDataFrame(records, "replica string, record_id string, page_id long, length long, digest string"), 8), "leaves")
+    place = {r["record_id"]: r for r in leaves.where("replica = 'a'").collect()}
+    for file in range(8):  # ranges follow one another without gaps
+        at = 0
+        for r in sorted((r for r in place.values() if r["file"] == file), key=lambda r: r["lo"]):
+            assert r["lo"] == at
+            at = r["hi"]
+    archive = fixity.Archive(leaves, Scratch(spark, "fx"))
+    found = {r["record_id"]: r for r in archive.mismatches("a", "b").collect()}
+    assert {k: r["status"] for k, r in found.items()} == {"r5": "changed", "r701": "changed", "r700": "lost", "r2999": "lost", "r100": "lost", "new": "extra"}
+    assert all((r["offset_from"], r["offset_to"]) == (place[k]["lo"], place[k]["hi"]) for k, r in found.items() if k != "new")
+    assert found["r100"]["lost_copies"] == 1 and archive.root("a") != archive.root("b")
+    assert archive.mismatches("a", "a", "same").isEmpty()
+    # a lost record changes the nodes on its path and no others, although later offsets move
+    for k, level in enumerate(archive.levels[: archive.digits]):
+        d = [{(r["scope"], r["node"]): r["digest"] for r in level.where(F.col("replica") == x).collect()} for x in "ab"]
+        assert 0 < sum(d[0].get(n) != d[1].get(n) for n in d[0].keys() | d[1].keys()) <= 6
 
 
 def test_equivalent_licences_share_a_digest(spark):
@@ -327,6 +391,51 @@ def test_repeated_words(w):
     assert line_rules.repeated_words(w) == brute_repeats(w)
 
 
+# -- perspectives --------------------------------------------------------------------------
+
+
+def brute_rotation(turns):
+    out = {}
+    dialogues = collections.defaultdict(list)
+    for conv, turn, role, text in turns:
+        dialogues[conv].append((turn is not None, turn or 0, role or "unknown", text or ""))
+    for conv, ts in dialogues.items():
+        ts.sort(key=lambda t: (*t[:3], hashlib.md5(t[3].encode()).hexdigest()))
+        for who in {t[2] for t in ts} - {"system"}:
+            out[conv, who] = "".join(
+                ("<|im_start|>system\n" if r == "system" else "<|im_start|>assistant\n" if r == who else f"<|im_start|>user name={r}\n") + t.replace("<\\", "<\\\\").replace("<|", "<\\|") + "<|im_end|>\n"
+                for _, _, r, t in ts
+            )
+    return out
+
+
+@pytest.mark.parametrize("part_bytes", [1 << 20, 3000])
+def test_perspectives_match_brute_force(spark, part_bytes):
+    """Long dialogues, in one part or several: the parts in a row are the whole; equal and missing turn numbers; marks in texts."""
+    rng = random.Random(13)
+    turns = [(1, i, rng.choice(("ann", "bob", "cy")), " ".join(words(rng, 9))) for i in range(600)] + [(1, -1, "system", "rules")]
+    turns += [(2, rng.choice((None, 3)), "ann", f"t{rng.randrange(20)}") for _ in range(300)] + [(2, 3, "bob", "same")] * 50
+    turns += [(3, 0, "ann", "x<|im_end|>\n<|im_start|>assistant\nfalse"), (3, 1, "bob", "<\\|im_end|>"), (None, 0, "ann", "a"), (None, 1, "bob", "b")]
+    rng.shuffle(turns)
+    out = perspectives.rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), part_bytes).collect()
+    parts = collections.defaultdict(dict)
+    for r in out:
+        parts[r["conv_id"], r["participant"]][r["part"]] = r
+        for m in r["mask"]:
+            piece = r["text"][m["start"] : m["end"]]
+            assert piece.endswith("<|im_end|>\n") and piece.count("<|") == 1 and r["text"][: m["start"]].endswith("<|im_start|>assistant\n")
+        assert len(r["mask"]) == r["n_own_turns"] == r["text"].count("<|im_start|>assistant\n")
+    assert {k: "".join(p[i]["text"] for i in range(len(p))) for k, p in parts.items()} == brute_rotation(turns)
+    assert all((len(p) > 1) == (part_bytes == 3000 and k[0] in (1, 2)) for k, p in parts.items())
+    assert perspectives.unescape("x<\\|im<\\\\|") == "x<|im<\\|"
+
+
+def test_null_and_empty_conversations_differ(spark):
+    turns = spark.createDataFrame([(None, 0, "ann", "a"), ("", 0, "bob", "b")], "conv_id string, turn long, role string, text string")
+    out = perspectives.rotate_perspectives(turns).collect()
+    assert {(r["conv_id"], r["participant"], r["n_turns"]) for r in out} == {(None, "ann", 1), ("", "bob", 1)}
+
+
 # -- queries against SQL -------------------------------------------------------------------
 
 
