@@ -108,12 +108,13 @@ def test_decontamination(docs, spark):
     assert decontamination.find_contamination(docs, items.limit(0)).isEmpty()
 
 
-def test_language_model(docs, spark):
-    v, t = ngram_lm.train(docs.select("text"), Scratch(spark, "lm-test"))
-    out = ngram_lm.score_documents(docs, v, t)
+@pytest.mark.parametrize("trains", [True, False])
+def test_language_model(docs, spark, trains):
+    out, model = ngram_lm.train_and_score(docs.withColumn("train", F.lit(trains)), Scratch(spark, "lm-test"))
     assert ids(out) == expected(docs)
     for r in out.collect():
-        assert r["n_known"] == r["n_tokens"] and r["score"] <= 0
+        assert r["n_known"] == (r["n_tokens"] if trains else 0) and r["score"] <= 1e-9 and (trains or r["score"] == 0)
+    assert ids(ngram_lm.score_documents(docs, model, Scratch(spark, "lm-later"))) == expected(docs)
 
 
 def test_fixity(spark):

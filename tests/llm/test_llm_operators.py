@@ -270,38 +270,67 @@ def test_exact_and_edited_leaks_are_found(spark):
 # -- language model ------------------------------------------------------------------------
 
 
-def test_scores_match_brute_force(spark):
-    rng = random.Random(6)
-    texts = [" ".join(words(rng, rng.randrange(0, 60), 200)).upper() for _ in range(300)]
-    train, held = texts[:250], texts[250:] + ["never seen words", ""]
-    tokens = lambda t: [*t.encode().lower().split(), b""]
-    c, b = collections.Counter(), collections.Counter()
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**62), max_size=50), max_size=4))
+def test_blocks_round_trip(arrays):
+    out = ngram_lm.decode(ngram_lm.encode(*(np.array(a, np.int64) for a in arrays)))
+    assert [x.tolist() for x in out] == arrays
+
+
+def exact_scores(train, texts, dirichlet=ngram_lm.DIRICHLET):
+    """n_tokens, n_known, base and score of each text by plain counting."""
+    tokens = lambda t: [*(t or "").encode().lower().split(), b""]
+    c, b, t3 = collections.Counter(), collections.Counter(), collections.Counter()
     for t in train:
-        c.update(tokens(t))
-        b.update(zip([b"", *tokens(t)], tokens(t), strict=False))
-    n, v, k = sum(c.values()), len(c), ngram_lm.DIRICHLET
-    p = lambda w: (c[w] + 0.1) / (n + 0.1 * (v + 1))
-    vocabulary, trie = ngram_lm.train(spark.createDataFrame([(t,) for t in train], "text string"), Scratch(spark, "lm-test"))
-    assert vocabulary.total == n and vocabulary.size == v
-    out = ngram_lm.score_documents(spark.createDataFrame(list(enumerate(held)), "doc_id long, text string"), vocabulary, trie)
-    for r in out.collect():
-        w = tokens(held[r["doc_id"]])
-        assert r["n_tokens"] == len(w) and r["n_known"] == sum(c[x] > 0 for x in w)
-        assert math.isclose(r["base_score"], sum(math.log10(p(x)) for x in w), rel_tol=1e-12)
-        exact = sum(math.log10((b[h, x] + k * p(x)) / (c[h] + k)) for h, x in zip([b"", *w], w, strict=False))
-        assert abs(r["score"] - exact) <= 0.5 * ngram_lm.LOWEST / ngram_lm.CODES * len(w) + 1e-9
-
-
-def test_hot_contexts_are_split(spark, monkeypatch):
-    monkeypatch.setattr(ngram_lm, "SEGMENT_TOKENS", 500)
-    monkeypatch.setattr(ngram_lm, "FLUSH_TOKENS", 2000)
-    rng = random.Random(8)
-    texts = [" ".join(x for w in words(rng, 40, 3000) for x in ("the", w)) for _ in range(60)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    vocabulary, trie = ngram_lm.train(docs.select("text"), Scratch(spark, "lm-hot"))
-    assert trie.hot
-    out = ngram_lm.score_documents(docs, vocabulary, trie).collect()
-    assert all(r["score"] > r["base_score"] for r in out)
+        w = tokens(t)
+        c.update(w)
+        b.update(zip([b"", *w], w, strict=False))
+        t3.update(zip([b"", *w], w, w[1:], strict=False))
+    n, v, (k, m) = sum(c.values()), len(c), dirichlet
+    out = []
+    for t in texts:
+        w = tokens(t)
+        p1 = [(c[x] + 0.1) / (n + 0.1 * (v + 1)) for x in w]
+        p2 = [(b[h, x] + k * p) / (c[h] + k) for h, x, p in zip([b"", *w], w, p1, strict=False)]
+        p3 = [(t3[g, h, x] + m * p) / (b[g, h] + m) for g, h, x, p in zip([b"", *w], w, w[1:], p2[1:], strict=False)]
+        out.append((len(w), sum(c[x] > 0 for x in w), sum(map(math.log10, p1)), sum(map(math.log10, p2[:1] + p3))))
+    return out
+
+
+@pytest.mark.parametrize("segment", [10**6, 500])  # and with many segments, contexts of their own, and batches
+def test_scores_match_brute_force(spark, monkeypatch, segment):
+    if segment == 500:
+        for name in ("SEGMENT_TOKENS", "WORD_SEGMENT_TOKENS", "BATCH_TOKENS"):
+            monkeypatch.setattr(ngram_lm, name, segment)
+    rng = random.Random(6)
+    texts = [" ".join(x for w in words(rng, rng.randrange(0, 60), 200) for x in ((w, "the", "end") if rng.random() < 0.3 else (w,))).upper() for _ in range(300)]
+    train, held = texts[:250], [*texts[250:], "never seen words", "", None]
+    rows = [(i, True, t) for i, t in enumerate(train)] + [(1000 + i, False, t) for i, t in enumerate(held)]
+    out, model = ngram_lm.train_and_score(spark.createDataFrame(rows, "doc_id long, train boolean, text string"), Scratch(spark, "lm-test"))
+    got = {r["doc_id"]: r for r in out.collect()}
+    want = dict(zip((r[0] for r in rows), exact_scores(train, [r[2] for r in rows]), strict=True))
+    assert got.keys() == want.keys()
+    for i, (n, known, base, score) in want.items():
+        r = got[i]
+        assert (r["n_tokens"], r["n_known"]) == (n, known) and math.isclose(r["base_score"], base, rel_tol=1e-12)
+        assert abs(r["score"] - score) <= 0.5 * ngram_lm.LOWEST / ngram_lm.CODES * n + 1e-9
+    if segment == 500:
+        assert model.bigrams.hot and model.trigrams.hot and len(model.trigrams.segments) > 20
+    later = ngram_lm.score_documents(spark.createDataFrame([(r[0], r[2]) for r in rows[200:]], "doc_id long, text string"), model, Scratch(spark, "lm-later"))
+    assert {r["doc_id"]: r for r in later.collect()} == {i: r for i, r in got.items() if i >= 200}
+
+
+@needs_data
+def test_op9_matches_brute_force(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 10 == 0}
+    want = dict(zip(texts, exact_scores([t for i, t in texts.items() if i not in held], texts.values()), strict=True))
+    out = registry.queries()["op9_elias_fano_lm"](spark, SF).collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(texts)
+    for r in out:
+        n, known, base, score = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"]) == (r["doc_id"] in held, n, known)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and abs(r["score"] - score) <= 0.024 * n
 
 
 # -- toxicity ------------------------------------------------------------------------------

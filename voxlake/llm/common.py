@@ -47,6 +47,17 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for as long as the block runs."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and outlive lost executors.
 
@@ -66,8 +77,11 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def save(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write and reread; ``by`` makes a folder of each value. The shuffle files of the job go when it has ended."""
+        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            writer = df.write.mode("overwrite")
+            (writer.partitionBy(by) if by else writer).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
