@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from voxlake.llm import components, decontamination, fixity, licenses, line_rules, mixing, neardup, ngram_lm, perspectives, registry, sharding, toxicity
-from voxlake.llm.common import Scratch
+from voxlake.llm.common import Scratch, WordHashes, words_of
 from voxlake.llm.elias_fano import EliasFano, pack, unpack
 
 SF = "/root/testdata/sf0.001"
@@ -267,6 +267,54 @@ def test_exact_and_edited_leaks_are_found(spark):
         assert found == want
 
 
+@pytest.mark.parametrize("edit", ["every4", "every3", "random", "inserted", "left out"])
+def test_seeds_lose_no_alignment(edit):
+    """Whatever full Smith-Waterman accepts is found, at edits that leave few words in a row."""
+    rng = random.Random(edit)
+    found = accepted = 0
+    for size in (8, 14, 30, 60):
+        for _ in range(25):
+            item = words(rng, size, 5000)
+            text = {
+                "every4": lambda i: [w if k % 4 else f"e{k}" for k, w in enumerate(i)],
+                "every3": lambda i: [w if k % 3 else f"e{k}" for k, w in enumerate(i)],
+                "random": lambda i: [w if rng.random() > 0.28 else f"e{k}" for k, w in enumerate(i)],
+                "inserted": lambda i: [x for k, w in enumerate(i) for x in ((w, f"i{k}") if k % 3 == 2 else (w,))],
+                "left out": lambda i: [w for k, w in enumerate(i) if k % 4 != 3],
+            }[edit](item)
+            text = words(rng, 70) + text + words(rng, 70)
+            hashes = WordHashes()
+            block = decontamination.Block([(0, " ".join(item))])
+            w = hashes.of(words_of(" ".join(text)))
+            if brute_alignment(block.words[0].tolist(), w.tolist()) >= decontamination.least_score(block.words[0], 0.5):
+                accepted += 1
+                found += bool(decontamination.matches(block, w, 0.5))
+    assert accepted >= 50 and found >= 0.9 * accepted
+    assert edit == "random" or found == accepted
+
+
+def test_short_items_and_passages_of_long_ones(spark):
+    rng = random.Random(16)
+    long = words(rng, 400, 50_000)
+    rows = [(0, words(rng, 40) + long[100:130] + words(rng, 40)), (1, words(rng, 40) + long[100:115]), (2, [*words(rng, 5), "alpha", "beta", *words(rng, 5)]), (3, ["beta", "alpha"])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    items = spark.createDataFrame([(0, " ".join(long)), (1, "Alpha beta"), (2, "gamma")], "item_id long, text string")
+    for size in (1 << 20, 1000):
+        assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_contamination(docs, items, block_bytes=size).collect()} == {(0, 0), (2, 1)}
+        assert {r["doc_id"] for r in decontamination.remove_contaminated(docs, items, block_bytes=size).collect()} == {1, 3}
+
+
+@needs_data
+def test_op1_matches_brute_force(spark):
+    """Every document against every item by full alignment, without seeds."""
+    hashes = WordHashes()
+    items = {r["item_id"]: hashes.of(words_of(r["text"])) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    texts = {r["doc_id"]: hashes.of(words_of(r["text"])) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    want = {(d, i) for d, t in texts.items() for i, w in items.items() if len(t) and decontamination.align(w, t)[0] >= decontamination.least_score(w, 0.5)}
+    got = {(r["doc_id"], r["item_id"]) for r in registry.queries()["op1_seeded_alignment"](spark, SF).collect()}
+    assert got == want and want
+
+
 # -- language model ------------------------------------------------------------------------
 
 
