@@ -81,12 +81,19 @@ def speech_prefix(spans: DataFrame, keys: list[str], seconds: float) -> DataFram
 
 
 def fill_times(words: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Words without times set between their timed neighbours: from the last end before to the first start after."""
+    """Words that lack a start or an end get the gap between their neighbours: from the end of the word before, filled or
+    not (0 at the beginning), to the next known start; of several in a row the first gets the gap, the others lie empty at its end."""
     w = Window.partitionBy(*keys).orderBy(order)
-    last = F.last("end", True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    next_ = F.first("start", True).over(w.rowsBetween(1, Window.unboundedFollowing))
-    start = F.coalesce("start", last, next_)
-    return words.withColumns({"_s": start, "_e": F.coalesce("end", next_, last)}).withColumns({"start": F.col("_s"), "end": F.greatest("_e", "_s")}).drop("_s", "_e")
+    upto, before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    timed = F.col("start").isNotNull() & F.col("end").isNotNull()
+    zero = F.lit(0).cast(words.schema["end"].dataType)
+    w1 = words.withColumns({"_timed": timed, "_base": F.coalesce(F.last(F.when(timed, F.col("end")), True).over(before), zero), "_next": F.when(~timed, F.first("start", True).over(after))})
+    w1 = w1.withColumn("_stretch", F.count(F.when(F.col("_timed"), 1)).over(upto))
+    s = Window.partitionBy(*keys, "_stretch").orderBy(order)
+    start = F.greatest("_base", F.max("_next").over(s.rowsBetween(Window.unboundedPreceding, -1)))
+    end = F.greatest("_base", F.max("_next").over(s.rowsBetween(Window.unboundedPreceding, 0)))
+    filled = w1.withColumns({"_s": F.when(F.col("_timed"), F.col("start")).otherwise(start), "_e": F.when(F.col("_timed"), F.col("end")).otherwise(end)})
+    return filled.withColumns({"start": F.col("_s"), "end": F.col("_e")}).drop("_s", "_e", "_timed", "_base", "_next", "_stretch")
 
 
 def process_chunked(samples: np.ndarray, rate: int, chunk_s: float, overlap_s: float, work: Callable[[np.ndarray, int], np.ndarray]) -> np.ndarray:

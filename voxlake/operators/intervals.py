@@ -33,14 +33,14 @@ def merge_spans(spans: DataFrame, keys: list[str], max_gap: float = 0, bin_width
     return _islands(spans, keys, max_gap, [])
 
 
-def overlap_regions(turns: DataFrame, keys: list[str], speaker: str = "speaker") -> DataFrame:
-    """Regions in which two or more different speakers talk: a sweep over merged turns."""
-    merged = merge_spans(turns, [*keys, speaker])
-    steps = merged.select(*keys, F.col("start").alias("at"), F.lit(1).alias("d")).unionByName(merged.select(*keys, F.col("end").alias("at"), F.lit(-1).alias("d")))
-    steps = steps.groupBy(*keys, "at").agg(F.sum("d").alias("d"))
+def overlap_regions(turns: DataFrame, keys: list[str], speaker: str = "speaker", bin_width: float | None = None) -> DataFrame:
+    """Regions in which two or more different speakers talk: a sweep over merged turns, which are merged by bins first if a width is given."""
+    merged = merge_spans(turns, [*keys, speaker], bin_width=bin_width)
+    edges = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d"))))
+    steps = merged.select(*keys, edges.alias("_x")).groupBy(*keys, F.col("_x.at").alias("at")).agg(F.sum("_x.d").alias("d"))
     order = Window.partitionBy(*keys).orderBy("at")
     active = steps.withColumn("n", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("next", F.lead("at").over(order))
-    return merge_spans(active.where("n >= 2 AND next IS NOT NULL").select(*keys, F.col("at").alias("start"), F.col("next").alias("end")), keys)
+    return merge_spans(active.where("n >= 2 AND next IS NOT NULL").select(*keys, F.col("at").alias("start"), F.col("next").alias("end")), keys, bin_width=bin_width)
 
 
 def _bins(start: Column, end: Column, width: float) -> Column:
@@ -63,7 +63,7 @@ def overlap_length() -> Column:
 
 def coverage(items: DataFrame, spans: DataFrame, keys: list[str], id_cols: list[str], bin_width: float) -> DataFrame:
     """``items`` with ``covered``: how much of each the merged spans cover; 0 for empty items."""
-    merged = merge_spans(spans, keys).withColumnsRenamed({"start": "r_start", "end": "r_end"})
+    merged = merge_spans(spans, keys, bin_width=bin_width).withColumnsRenamed({"start": "r_start", "end": "r_end"})
     pairs = overlap_join(items.select(*keys, *id_cols, "start", "end"), merged, keys, bin_width)
     covered = pairs.groupBy(*keys, *id_cols).agg(F.sum(overlap_length()).alias("covered"))
     zero = F.col("end") - F.col("end")  # of the spans' type
@@ -76,7 +76,7 @@ def coverage_ratio() -> Column:
 
 def intersecting(items: DataFrame, spans: DataFrame, keys: list[str], id_cols: list[str], bin_width: float) -> DataFrame:
     """First start and last end of the merged spans that each item overlaps."""
-    merged = merge_spans(spans, keys).withColumnsRenamed({"start": "r_start", "end": "r_end"})
+    merged = merge_spans(spans, keys, bin_width=bin_width).withColumnsRenamed({"start": "r_start", "end": "r_end"})
     pairs = overlap_join(items.select(*keys, *id_cols, "start", "end"), merged, keys, bin_width)
     return pairs.groupBy(*keys, *id_cols).agg(F.min("r_start").alias("hit_start"), F.max("r_end").alias("hit_end"))
 
@@ -132,10 +132,10 @@ def weighted_means(items: DataFrame, parts: DataFrame, keys: list[str], id_cols:
     return pairs.groupBy(*keys, *id_cols).agg(*(F.try_divide(F.sum(F.col(v) * F.col("_n")), F.sum(F.when(F.col(v).isNotNull(), F.col("_n")))).alias(v) for v in values))
 
 
-def cut_spans(spans: DataFrame, keys: list[str], max_length: float) -> DataFrame:
+def cut_spans(spans: DataFrame, keys: list[str], max_length: float, bin_width: float | None = None) -> DataFrame:
     """Merged spans, those longer than ``max_length`` cut into equal pieces."""
     n = F.when(F.col("end") - F.col("start") > max_length, F.floor((F.col("end") - F.col("start")) / max_length) + 1).otherwise(1)
-    cut = merge_spans(spans, keys).withColumn("_n", n.cast("int")).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    cut = merge_spans(spans, keys, bin_width=bin_width).withColumn("_n", n.cast("int")).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     step = (F.col("end") - F.col("start")) / F.col("_n")
     return cut.select(*keys, (F.col("start") + F.col("_i") * step).alias("start"), F.when(F.col("_i") == F.col("_n") - 1, F.col("end")).otherwise(F.col("start") + (F.col("_i") + 1) * step).alias("end"))
 

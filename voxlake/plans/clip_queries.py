@@ -30,8 +30,7 @@ def x9_routes(spark: SparkSession, d: str) -> DataFrame:
 
 def x12_fill_times(spark: SparkSession, d: str) -> DataFrame:
     w = fx.words(spark, d)
-    known = F.col("ord") % 5 < 3
-    w = w.withColumn("start", F.when(known, F.col("start"))).withColumn("end", F.when(known, F.col("end")))
+    w = w.withColumn("start", F.when(F.col("ord") % 5 > 1, F.col("start"))).withColumn("end", F.when(F.col("ord") % 5 % 4 > 1, F.col("end")))
     return clips.fill_times(w, K, "ord").select("source_id", "ord", F.col("start").alias("s"), F.col("end").alias("e"))
 
 
@@ -76,9 +75,13 @@ SQL = {
 b AS (SELECT *, coalesce(sum(e - s) OVER (PARTITION BY source_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM m)
 SELECT source_id, s, least(e, s + 30000000000 - b) AS e FROM b WHERE b < 30000000000""",
     "x9_routes": """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'alpine' WHEN doc_id % 7 = 0 THEN 'fast' WHEN lang = 'en' THEN 'fast' WHEN lang = 'fr' THEN 'latin' ELSE 'base' END AS backend FROM documents""",
-    "x12_fill_times": f"""WITH {fx.WORDS}, w AS (SELECT source_id, ord, CASE WHEN ord % 5 < 3 THEN s END AS s, CASE WHEN ord % 5 < 3 THEN e END AS e FROM words),
-n AS (SELECT *, last_value(e IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l, first_value(s IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS f FROM w),
-x AS (SELECT source_id, ord, coalesce(s, l, f) AS s, coalesce(e, f, l) AS e FROM n) SELECT source_id, ord, s, greatest(s, e) AS e FROM x""",
+    # word by word, as the rule says: the end before, filled or not, and the next known start
+    "x12_fill_times": f"""WITH RECURSIVE {fx.WORDS}, w AS (SELECT source_id, ord, CASE WHEN ord % 5 > 1 THEN s END AS s, CASE WHEN ord % 5 % 4 > 1 THEN e END AS e FROM words),
+n AS (SELECT source_id, ord, s, e, s IS NULL OR e IS NULL AS gap, first_value(s IGNORE NULLS) OVER (v ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS f, row_number() OVER v AS k FROM w WINDOW v AS (PARTITION BY source_id ORDER BY ord)),
+walk AS (
+  SELECT source_id, ord, k, CASE WHEN gap THEN 0 ELSE s END AS s, CASE WHEN gap THEN greatest(0, coalesce(f, 0)) ELSE e END AS e FROM n WHERE k = 1
+  UNION ALL SELECT n.source_id, n.ord, n.k, CASE WHEN n.gap THEN p.e ELSE n.s END, CASE WHEN n.gap THEN greatest(p.e, coalesce(n.f, p.e)) ELSE n.e END FROM walk p JOIN n ON n.source_id = p.source_id AND n.k = p.k + 1
+) SELECT source_id, ord, s, e FROM walk""",
     "x15_clip_windows": f"""WITH {_CLIPS}, w AS (SELECT clip_id, k AS window_no, x[k * 50 + 1:k * 50 + 100] AS x FROM c, range(15) t(k))
 SELECT clip_id, window_no, round(window_no * 0.05::DOUBLE, 3) AS start_s, len(x)::BIGINT AS n FROM w WHERE sqrt({_MS.format('x')}) >= 0.3""",
     "x16_window_metrics": """WITH e AS (SELECT user_id AS clip_id, value / 10 AS sec, (event_id % 100) / 100::DOUBLE AS speech, (event_id % 37) / 37::DOUBLE AS music, max(value / 10) OVER (PARTITION BY user_id) AS l FROM events)

@@ -18,7 +18,7 @@ def w1_merge_spans(spark: SparkSession, d: str) -> DataFrame:
 
 
 def w2_overlap_regions(spark: SparkSession, d: str) -> DataFrame:
-    return iv.overlap_regions(fx.turns(spark, d), K).select("source_id", F.col("start").alias("s"), F.col("end").alias("e"))
+    return iv.overlap_regions(fx.turns(spark, d), K, bin_width=24 * BIN).select("source_id", F.col("start").alias("s"), F.col("end").alias("e"))
 
 
 def w3_group_spans(spark: SparkSession, d: str) -> DataFrame:
@@ -26,7 +26,7 @@ def w3_group_spans(spark: SparkSession, d: str) -> DataFrame:
 
 
 def w3_cut_spans(spark: SparkSession, d: str) -> DataFrame:
-    out = iv.cut_spans(fx.turns(spark, d), K, 3_600_000_000)
+    out = iv.cut_spans(fx.turns(spark, d), K, 3_600_000_000, 24 * BIN)
     return out.select("source_id", F.round("start").cast("long").alias("s"), F.round("end").cast("long").alias("e"))
 
 
@@ -54,7 +54,7 @@ def j1_assign_speakers(spark: SparkSession, d: str) -> DataFrame:
 
 def j6_overlapped_words(spark: SparkSession, d: str) -> DataFrame:
     w = fx.words(spark, d).withColumn("end", F.greatest("end", F.col("start") + 10_000))
-    out = iv.coverage(w, iv.overlap_regions(fx.word_turns(spark, d), K), K, ["ord"], WORD_BIN)
+    out = iv.coverage(w, iv.overlap_regions(fx.word_turns(spark, d), K, bin_width=WORD_BIN), K, ["ord"], WORD_BIN)
     return out.select("source_id", "ord", (iv.coverage_ratio() >= 0.3).alias("overlapped"))
 
 
@@ -65,7 +65,8 @@ def j7_other_speaker_time(spark: SparkSession, d: str) -> DataFrame:
 
 def j8_speaker_breaks(spark: SparkSession, d: str) -> DataFrame:
     w = fx.words(spark, d).withColumn("speaker", F.col("role"))
-    return iv.other_speaker_breaks(w, fx.word_turns(spark, d), K, ["ord"], WORD_BIN, 300_000)
+    guests = w.where("ord % 3 = 0").select("source_id", F.lit("guest").alias("speaker"), F.col("end").alias("start"), (F.col("end") + 100_000 + F.col("ord") % 5 * 150_000).alias("end"), "ord")
+    return iv.other_speaker_breaks(w, fx.word_turns(spark, d).unionByName(guests), K, ["ord"], WORD_BIN, 300_000)
 
 
 def j9_weighted_means(spark: SparkSession, d: str) -> DataFrame:
@@ -119,8 +120,9 @@ c AS (SELECT w.source_id, w.ord, w.s, w.e, coalesce(sum(least(w.e, p.e) - greate
 SELECT source_id, ord, n / (e - s) >= 0.3 AS overlapped FROM c""",
     "j7_other_speaker_time": f"""{_W} SELECT t.ord, t.source_id, coalesce(sum(CASE WHEN t.e - 500000 > t.s + 500000 THEN greatest(0, least(t.e - 500000, o.e) - greatest(t.s + 500000, o.s)) END) FILTER (o.s IS NOT NULL), 0)::BIGINT AS other_us
 FROM turns t LEFT JOIN turns o ON t.source_id = o.source_id AND t.speaker <> o.speaker AND o.s < t.e - 500000 AND t.s + 500000 < o.e GROUP BY ALL""",
-    "j8_speaker_breaks": f"""{_WORDS}, g AS (SELECT source_id, ord, role, lag(e) OVER w AS a, s AS b, lag(role) OVER w AS before FROM words WINDOW w AS (PARTITION BY source_id ORDER BY ord))
-SELECT g.source_id, g.ord FROM g JOIN wturns t ON g.source_id = t.source_id AND t.speaker <> g.role AND t.s < g.b AND g.a < t.e
+    "j8_speaker_breaks": f"""{_WORDS}, g AS (SELECT source_id, ord, role, lag(e) OVER w AS a, s AS b, lag(role) OVER w AS before FROM words WINDOW w AS (PARTITION BY source_id ORDER BY ord)),
+tt AS (SELECT source_id, speaker, s, e FROM wturns UNION ALL SELECT source_id, 'guest', e, e + 100000 + ord % 5 * 150000 FROM words WHERE ord % 3 = 0)
+SELECT g.source_id, g.ord FROM g JOIN tt t ON g.source_id = t.source_id AND t.speaker <> g.role AND t.s < g.b AND g.a < t.e
 WHERE g.role = g.before AND g.b - g.a >= 300000 GROUP BY g.source_id, g.ord HAVING sum(least(g.b, t.e) - greatest(g.a, t.s)) >= 300000""",
     "j9_weighted_means": f"""{_W}, p AS (SELECT source_id, s, e, CASE WHEN ord % 7 <> 0 THEN (ord % 100) / 100.0::DOUBLE END AS a, (ord % 9) / 10.0::DOUBLE AS b FROM turns WHERE speaker = 'view'),
 x AS (SELECT t.ord, t.source_id, p.a, p.b, (least(t.e, p.e) - greatest(t.s, p.s))::DOUBLE AS n FROM turns t JOIN p ON t.source_id = p.source_id AND p.s < t.e AND t.s < p.e)
