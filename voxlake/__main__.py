@@ -1,4 +1,4 @@
-"""Command line: init, build, push, status, components, doctor.
+"""Command line: init, process, build, run, push, status, hub-status, components, doctor.
 
 A work folder holds Parquet tables: segments, scores, embeddings, windows (optional), manifest, registry (versions).
 Exit codes: 0, 1 when stages failed, 2 for wrong settings.
@@ -7,11 +7,14 @@ Exit codes: 0, 1 when stages failed, 2 for wrong settings.
 from __future__ import annotations
 
 import argparse
+import importlib
 import importlib.util
 import shutil
 import sys
 from dataclasses import asdict
 
+from pyspark.sql import functions as F
+
 from voxlake.plans import build as bd
 
 
@@ -72,16 +75,54 @@ def _push(args) -> int:
     built = spark.read.parquet(f"{args.work}/segments").select("source_id").distinct()
     target = Versions(spark, args.to)
     at = target.current()
-    merged = merge_rows(target.read(at), local, built) if at else local
+    before = target.read(at) if at else None
+    merged = merge_rows(before, local, built) if at else local
     totals(merged).show()
     if not args.dry_run:
-        print("published version", target.publish(merged, at))
+        hours = [float(x.agg(F.sum("duration")).first()[0] or 0) / 3600 if x is not None else 0.0 for x in (merged, before)]
+        version = target.publish(merged, at)
+        target.record(version, [str(r.source_id) for r in built.collect()], round(hours[0] - hours[1], 3), round(hours[0], 3))
+        print("published version", version)
     return 0
 
 
-def _status(args) -> int:
-    from pyspark.sql import functions as F
+def _hub_status(args) -> int:
+    from voxlake.operators.summary import by_group, totals
+    from voxlake.plans.manifest import Versions
+
+    target = Versions(_session(), args.to)
+    if not target.current():
+        raise ValueError(f"nothing is published at {args.to}")
+    rows = target.read()
+    totals(rows).show()
+    by_group(rows).where("kind = 'series'").orderBy("name").show(1000, False)
+    target.history().show(1000, False)
+    return 0
+
+
+def _stages(name: str):
+    """The stages that a module offers, as module:name."""
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute or "STAGES")
+
 
+def _process(args) -> int:
+    from voxlake.plans.runner import run_stages
+    from voxlake.sources.files import resolve_inputs
+
+    spark = _session()
+    shard = tuple(int(x) for x in args.shard.split("/")) if args.shard else None
+    sources = resolve_inputs(spark, args.inputs, args.language)
+    counts = run_stages(spark, sources, _stages(args.stages), args.work, args.until, args.force, shard)
+    counts.groupBy("stage").pivot("outcome").sum("n").orderBy("stage").show(100, False)
+    return int(bool(counts.where("outcome = 'failed'").agg(F.sum("n")).first()[0]))
+
+
+def _run(args) -> int:
+    return _process(args) or _build(args)
+
+
+def _status(args) -> int:
     from voxlake.operators.summary import stage_status
 
     m = _session().read.parquet(f"{args.work}/manifest")
@@ -122,6 +163,11 @@ def main(argv: list[str] | None = None) -> int:
     work = (("work",), {})
     command("init", _init, (("path",), {}))
     command("build", _build, work, (("--config",), {}), (("--set",), {"action": "append", "default": []}), (("--windows",), {"action": "store_true"}))
+    inputs = [work, (("inputs",), {"nargs": "+"}), (("--stages",), {"required": True}), (("--language",), {}), (("--until",), {}), (("--force",), {"action": "append", "default": []}), (("--shard",), {})]
+    building = [(("--config",), {}), (("--set",), {"action": "append", "default": []}), (("--windows",), {"action": "store_true"})]
+    command("process", _process, *inputs)
+    command("run", _run, *inputs, *building)
+    command("hub-status", _hub_status, (("to",), {}))
     command("push", _push, work, (("to",), {}), (("--dry-run",), {"action": "store_true"}))
     command("status", _status, work, (("--errors",), {"action": "store_true"}))
     command("components", _components)
@@ -129,7 +175,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
     try:
         return args.run(args)
-    except (ValueError, TypeError) as e:
+    except (ValueError, TypeError, FileNotFoundError, ImportError, AttributeError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 2
 

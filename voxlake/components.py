@@ -154,6 +154,49 @@ def spans(clips: DataFrame, kind: str, name: str, keys: list[str], **params: Any
     return clips.select(*keys, "samples", "rate").mapInPandas(run, schema)
 
 
+def transcribed(clips: DataFrame, name: str, keys: list[str], **params: Any) -> DataFrame:
+    """Segments (keys, language, start, end, text, words) that a transcriber (``transcribe``: language and segments, each start, end, text and
+    timed words) hears in each clip (keys, samples, rate, language as a hint or null)."""
+    schema = ", ".join(f"{k} {clips.schema[k].dataType.simpleString()}" for k in keys) + ", language string, start double, end double, text string, words array<struct<text:string,start:double,end:double,prob:double>>"
+
+    def run(batches):
+        c = create("transcriber", name, **params)
+        c.load()
+        try:
+            for pdf in batches:
+                rows = []
+                for row in pdf.to_dict("records"):
+                    language, found = c.transcribe(np.asarray(row["samples"], np.float32), int(row["rate"]), row["language"])
+                    rows += [(*(row[k] for k in keys), language, *segment) for segment in found]
+                yield pd.DataFrame(rows, columns=[*keys, "language", "start", "end", "text", "words"])
+        finally:
+            c.unload()
+
+    return clips.select(*keys, "samples", "rate", "language").mapInPandas(run, schema)
+
+
+def aligned(clips: DataFrame, segments: DataFrame, name: str, keys: list[str], **params: Any) -> DataFrame:
+    """Words (keys, text, start, end, prob) that an aligner (``align``: words of segments) places in each clip. segments: keys, start, end, text, language."""
+    kind = lambda f, k: f.schema[k].dataType.simpleString()
+    schema = ", ".join(f"{k} {kind(clips, k)}" for k in keys) + ", text string, start double, end double, prob double"
+    spoken = segments.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("segments"), F.min("language").alias("language"))
+
+    def run(batches):
+        c = create("aligner", name, **params)
+        c.load()
+        try:
+            for pdf in batches:
+                rows = []
+                for row in pdf.to_dict("records"):
+                    given = [(s["start"], s["end"], s["text"]) for s in row["segments"]]
+                    rows += [(*(row[k] for k in keys), *w) for w in c.align(given, np.asarray(row["samples"], np.float32), int(row["rate"]), row["language"])]
+                yield pd.DataFrame(rows, columns=[*keys, "text", "start", "end", "prob"])
+        finally:
+            c.unload()
+
+    return clips.select(*keys, "samples", "rate").join(spoken, keys).mapInPandas(run, schema)
+
+
 def processed(samples: Column, rate: Column, name: str, **params: Any) -> Column:
     """Samples after an enhancer (``process``), of the same length."""
 

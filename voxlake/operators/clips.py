@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import wave
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -96,15 +97,43 @@ def fill_times(words: DataFrame, keys: list[str], order: str) -> DataFrame:
     return filled.withColumns({"start": F.col("_s"), "end": F.col("_e")}).drop("_s", "_e", "_timed", "_base", "_next", "_stretch")
 
 
-def process_chunked(samples: np.ndarray, rate: int, chunk_s: float, overlap_s: float, work: Callable[[np.ndarray, int], np.ndarray]) -> np.ndarray:
-    """``work`` over overlapping chunks, crossfaded: what a task does with one recording too long to work on at once."""
+def _cores(total: int, rate: int, chunk_s: float, overlap_s: float) -> tuple[list[int], int]:
+    """Edges of the chunks' cores, and the overlap, in samples."""
     chunk, overlap = max(1, int(chunk_s * rate)), max(0, int(overlap_s * rate))
     if chunk <= 2 * overlap:
         raise ValueError("a chunk must be longer than twice the overlap")
-    total = len(samples)
     edges = [*range(0, total, chunk), total] if total else [0, 0]
     if len(edges) > 2 and edges[-1] - edges[-2] <= 2 * overlap:
         del edges[-2]
+    return edges, overlap
+
+
+def process_file(source: str, target: str, work: Callable[[np.ndarray, int], np.ndarray], chunk_s: float, overlap_s: float) -> None:
+    """``process_chunked`` from file to file: no more than a chunk and the fading end of the one before are held, however long
+    the recording. The target is written aside and renamed."""
+    with wave.open(source, "rb") as f:
+        rate, total = f.getframerate(), f.getnframes()
+    edges, overlap = _cores(total, rate, chunk_s, overlap_s)
+    aside, fading = f"{target}.{uuid.uuid4().hex}", np.zeros(0, np.float32)
+    with wave.open(aside, "wb") as out:
+        out.setnchannels(1), out.setsampwidth(2), out.setframerate(rate)
+        for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            lo, hi = max(0, a - overlap), min(total, b + overlap)
+            x, _ = signal.read_wav(source, lo / rate, hi / rate)
+            y = np.asarray(work(x, rate), np.float32)
+            y = np.pad(y, (0, max(0, hi - lo - len(y))))[: hi - lo]
+            rising = np.linspace(0, 1, len(fading), dtype=np.float32)
+            y[: len(fading)] = fading * (1 - rising) + y[: len(fading)] * rising
+            done = len(y) if k + 2 == len(edges) else b - overlap - lo
+            out.writeframes((np.clip(y[:done], -1, 1) * 32767).round().astype("<i2").tobytes())
+            fading = y[done:]
+    os.replace(aside, target)
+
+
+def process_chunked(samples: np.ndarray, rate: int, chunk_s: float, overlap_s: float, work: Callable[[np.ndarray, int], np.ndarray]) -> np.ndarray:
+    """``work`` over overlapping chunks, crossfaded: what a task does with one recording too long to work on at once."""
+    total = len(samples)
+    edges, overlap = _cores(total, rate, chunk_s, overlap_s)
     parts = []
     for a, b in zip(edges, edges[1:], strict=False):
         lo, hi = max(0, a - overlap), min(total, b + overlap)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voxlake.functions.keys import stable_hash
 
+HISTORY = "version int, published_at timestamp, sources array<string>, hours_added double, total_hours double"
 MANIFEST = "source_id string, stage string, status string, fingerprint string, error string, finished_at timestamp"
 
 
@@ -68,7 +69,11 @@ def isolate(items: DataFrame, work: Callable[[dict], dict], schema: str) -> Data
 
 
 class Versions:
-    """A table published in versions below a folder; the pointer moves only if nobody moved it since it was read."""
+    """A table published in versions below a folder; a version takes its place only if nobody took it since the last was read.
+
+    That rests on a rename that is atomic and fails if the target is there, as in HDFS and local file systems; object
+    stores without such a rename need one writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -95,3 +100,14 @@ class Versions:
             self._fs.delete(self._path(aside), True)
             raise RuntimeError(f"version {based_on} is no longer the newest")
         return based_on + 1
+
+    def record(self, version: int, sources: list[str], hours_added: float, total_hours: float) -> None:
+        """A line of history for a version."""
+        row = [(version, sorted(sources), hours_added, total_hours)]
+        self.spark.createDataFrame(row, HISTORY.replace("published_at timestamp, ", "")).withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/_history")
+
+    def history(self) -> DataFrame:
+        """What was published when, the newest last."""
+        path = f"{self.root}/_history"
+        rows = self.spark.read.schema(HISTORY).parquet(path) if self._fs.exists(self._path(path)) else self.spark.createDataFrame([], HISTORY)
+        return rows.orderBy("version")

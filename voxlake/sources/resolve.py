@@ -123,8 +123,13 @@ def audio_streams(probes: DataFrame) -> DataFrame:
     )
 
 
-def select_streams(streams: DataFrame, languages: tuple[str, ...] = PREFERRED_LANGUAGES, skipped: tuple[str, ...] = SKIPPED_TITLES) -> DataFrame:
-    """The main dialogue stream of each source: commentary and description last, then by language, default mark, channels, number."""
+def select_streams(streams: DataFrame, languages: tuple[str, ...] = PREFERRED_LANGUAGES, skipped: tuple[str, ...] = SKIPPED_TITLES, index: int | None = None) -> DataFrame:
+    """The main dialogue stream of each source: commentary and description last, then by language, default mark, channels, number.
+    With ``index`` that stream, and a failure for a source that lacks it."""
+    if index is not None:
+        there = F.max(F.col("index") == index).over(Window.partitionBy("source_id"))
+        message = F.concat(F.lit(f"no audio stream {index} in "), F.col("source_id").cast("string"))
+        return streams.withColumn("_there", there).where(F.when(F.col("_there"), F.col("index") == index).otherwise(F.raise_error(message).cast("boolean"))).drop("_there")
     title = F.lower(F.coalesce("title", F.lit("")))
     excluded = F.col("is_commentary") | F.col("is_audio_description")
     for k in skipped:

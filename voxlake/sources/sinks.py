@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import re
 from dataclasses import asdict, is_dataclass
@@ -35,6 +37,25 @@ def write_shards(rows: DataFrame, path: str) -> None:
     rows.repartition("source_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("source_id").parquet(path)
 
 
+def csv_bytes(rows: list[dict], columns: list[str]) -> bytes:
+    """Rows of a small table (a summary) as CSV with a header; null is empty."""
+    out = io.StringIO()
+    writer = csv.DictWriter(out, columns, extrasaction="ignore", lineterminator="\n")
+    writer.writeheader()
+    writer.writerows({k: "" if v is None else v for k, v in r.items()} for r in rows)
+    return out.getvalue().encode()
+
+
+def jsonl_bytes(rows: list[dict]) -> bytes:
+    return "".join(json.dumps(r, ensure_ascii=False, default=str) + "\n" for r in rows).encode()
+
+
+def write_embeddings(rows: DataFrame, path: str) -> None:
+    """segment_id and its vector in single precision, a folder for each source; only the sources in ``rows`` are replaced."""
+    out = rows.select("source_id", "segment_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    out.repartition("source_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(path)
+
+
 def redacted(value: object) -> object:
     """A configuration without anything that looks like a secret."""
     value = asdict(value) if is_dataclass(value) and not isinstance(value, type) else value
@@ -54,9 +75,21 @@ def dataset_document(totals: DataFrame, groups: DataFrame, reasons: DataFrame, c
     return json.dumps(body, indent=2, default=str)
 
 
-def card(name: str, document: str) -> str:
-    """A short Markdown report of a dataset document."""
+def _table(title: str, groups: dict[str, dict], columns: tuple[str, ...] = ("hours", "utterances", "speakers", "sources")) -> list[str]:
+    head = [f"## By {title}", "", f"| {title} | {' | '.join(columns)} |", "| --- |" + " ---: |" * len(columns)]
+    return [*head, *(f"| {k} | {' | '.join(str(v.get(c, '')) for c in columns)} |" for k, v in groups.items()), ""]
+
+
+def card(name: str, document: str, license_id: str = "other", history: list[dict] | None = None) -> str:
+    """A Markdown report of a dataset document: front matter, totals, splits, series, languages, what was dropped and why, what was pushed when."""
     d = json.loads(document)
-    lines = [f"# {name}", "", f"{d['total_utterances']} utterances of {d['total_speakers']} speakers, {d['total_hours']} hours from {d['num_sources']} sources.", "", "| series | hours | utterances | speakers |", "| --- | ---: | ---: | ---: |"]
-    lines += [f"| {k} | {v['hours']} | {v['utterances']} | {v['speakers']} |" for k, v in d["series"].items()]
-    return "\n".join(lines) + "\n"
+    languages = "".join(f"\n- {k}" for k in d["language"])
+    lines = ["---", f"license: {license_id}", f"language:{languages}", "task_categories:\n- text-to-speech\n- automatic-speech-recognition", "---", "", f"# {name}", ""]
+    lines += [f"{d['total_utterances']} utterances of {d['total_speakers']} speakers, {d['total_hours']} hours from {d['num_sources']} sources.", ""]
+    for kind in ("split", "series", "language"):
+        lines += _table(kind, d[kind])
+    if d.get("dropped"):
+        lines += ["## Dropped", "", "| reason | segments |", "| --- | ---: |", *(f"| {k} | {v} |" for k, v in d["dropped"].items()), ""]
+    if history:
+        lines += ["## History", "", *(f"- {h['published_at']}: {h['hours_added']:+.2f} h, {h['total_hours']:.2f} h in all" for h in history), ""]
+    return "\n".join(lines).rstrip() + "\n"
