@@ -31,7 +31,7 @@ def test_intruders_of_all_sources_match_brute_force(spark):
             margins[vec_id % 40].append(v @ centroids[source, label] - max(other))
         else:
             margins[vec_id % 40]
-    got = {r.segment_id: r for r in registry.queries()["v12_v13_intruders_all"](spark, SF).collect()}
+    got = {r.segment_id: r for r in registry.queries()["v12_v13_intruders"](spark, SF).collect()}
     assert got.keys() == margins.keys()
     for k, m in margins.items():
         assert got[k].intruder_s == pytest.approx(0.75 * sum(x < -0.1 for x in m))

@@ -90,7 +90,8 @@ def repetition_ratio(text: Column, n: int = 3) -> Column:
     """Share of word n-grams that repeat an earlier one."""
 
     def ratio(t: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), " "))
+        # by place: a slice copies the whole array each time
+        grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - n, F.lit(0))), lambda i: F.concat_ws(" ", *(F.get(t, i + k) for k in range(n))))
         return F.when(F.size(t) < n + 1, F.lit(0.0)).otherwise(bound(grams, lambda g: 1 - F.size(F.array_distinct(g)) / F.size(g)))
 
     return bound(tokenize(text), ratio)

@@ -197,7 +197,7 @@ def o3_utterance_batches(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "a7_a8_source_stats": a7_a8_source_stats,
     "a10_build_report": a10_build_report,
-    "o3_f7_utterance_paths": o3_utterance_batches,
+    "o3_utterance_paths": o3_utterance_batches,
     "f1_first_failure": f1_first_failure,
     "f3_f4_f5_drop_reasons": f3_f5_drop_reasons,
     "f8_metric_columns": f8_metric_columns,
@@ -230,7 +230,7 @@ SQL = {
 p AS (SELECT source_id, count(*)::BIGINT AS num_spans, sum(e - s)::BIGINT AS speech_us FROM speech GROUP BY 1) SELECT * FROM v FULL JOIN p USING (source_id)""",
     "a10_build_report": f"""WITH {_UTT}, g AS (SELECT * FROM u WHERE speaker_id % 3 = 0 AND source_id LIKE 'show1%')
 SELECT count(DISTINCT speaker_id)::BIGINT AS total_speakers, count(*)::BIGINT AS total_utterances, round(sum(duration) / 3600, 3) AS total_hours, (SELECT count(DISTINCT source_id)::BIGINT FROM u) AS num_sources FROM g""",
-    "o3_f7_utterance_paths": f"WITH {_UTT} SELECT speaker_id, utt_id, 'wavs/' || lpad(speaker_id::VARCHAR, 5, '0') || '/' || utt_id || '.wav' AS audio_path FROM u",
+    "o3_utterance_paths": f"WITH {_UTT} SELECT speaker_id, utt_id, 'wavs/' || lpad(speaker_id::VARCHAR, 5, '0') || '/' || utt_id || '.wav' AS audio_path FROM u",
     "f1_first_failure": f"WITH {_SEG} SELECT doc_id, failure AS reason FROM f",
     "f3_f4_f5_drop_reasons": f"WITH {_SEG} SELECT doc_id, reason FROM c",
     "f8_metric_columns": f"WITH {_SEG} SELECT doc_id, chars_per_sec, quality, repetition_ratio, toxic FROM seg",

@@ -99,6 +99,15 @@ SQL = {
     "w2_overlap_regions": f"{_W}, {fx.OVERLAPS} SELECT source_id, s, e FROM regions",
     "w3_cut_spans": f"""{_W}, {_ALL}, {fx.merge_sql('tall', 'm')}, c AS (SELECT *, CASE WHEN e - s > 3600000000 THEN (e - s) // 3600000000 + 1 ELSE 1 END AS n FROM m)
 SELECT source_id, round(s + i * ((e - s) / n))::BIGINT AS s, CASE WHEN i = n - 1 THEN e ELSE round(s + (i + 1) * ((e - s) / n))::BIGINT END AS e FROM (SELECT *, unnest(range(n)) AS i FROM c)""",
+    # piece by piece: a chunk goes on while the gap is short and the whole still fits
+    "w3_group_spans": f"""WITH RECURSIVE {fx.TURNS}, {_ALL}, {fx.merge_sql('tall', 'm')}, c AS (SELECT *, CASE WHEN e - s > 3600000000 THEN (e - s) // 3600000000 + 1 ELSE 1 END AS n FROM m),
+p AS (SELECT source_id, s + i * ((e - s) / n) AS s, CASE WHEN i = n - 1 THEN e::DOUBLE ELSE s + (i + 1) * ((e - s) / n) END AS e FROM (SELECT *, unnest(range(n)) AS i FROM c)),
+o AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY s, e) AS k FROM p),
+walk AS (
+  SELECT source_id, k, s, e, s AS opened, 1 AS chunk FROM o WHERE k = 1
+  UNION ALL SELECT o.source_id, o.k, o.s, o.e, CASE WHEN o.s - w.e <= 600000000 AND o.e - w.opened <= 3600000000 THEN w.opened ELSE o.s END, CASE WHEN o.s - w.e <= 600000000 AND o.e - w.opened <= 3600000000 THEN w.chunk ELSE w.chunk + 1 END
+  FROM walk w JOIN o ON o.source_id = w.source_id AND o.k = w.k + 1
+) SELECT source_id, round(min(s))::BIGINT AS s, round(max(e))::BIGINT AS e FROM walk GROUP BY source_id, chunk""",
     "j2_j3_coverage": f"""{_W}, {fx.SPEECH}, c AS (
   SELECT t.ord, t.source_id, t.s, t.e, coalesce(sum(least(t.e, p.e) - greatest(t.s, p.s)) FILTER (p.s IS NOT NULL), 0)::BIGINT AS covered
   FROM turns t LEFT JOIN speech p ON t.source_id = p.source_id AND p.s < t.e AND t.s < p.e GROUP BY ALL)
