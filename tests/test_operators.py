@@ -62,14 +62,27 @@ def test_keys(spark):
 # -- intervals -----------------------------------------------------------------------------
 
 
-def test_merge_and_overlap(spark):
-    s = spans(spark, [(1, 0.0, 1.0), (1, 0.5, 2.0), (1, 3.0, 4.0), (1, 5.0, 5.0)])
-    assert times(intervals.merge_spans(s, ["source_id"])) == [(0, 2), (3, 4)]
-    assert times(intervals.merge_spans(s, ["source_id"], 1.0, 1.0)) == [(0, 4)]
-    t = spans(spark, [(1, 0.0, 5.0, "A"), (1, 4.0, 8.0, "B"), (1, 2.0, 3.0, "A"), (1, 8.0, 9.0, "C")], "source_id long, start double, end double, speaker string")
-    assert times(intervals.overlap_regions(t, ["source_id"])) == [(4, 5)]
-    items = spans(spark, [(1, 1.0, 3.5, 0), (1, 9.0, 9.0, 1)], "source_id long, start double, end double, id long")
-    assert {r.id: r.covered for r in intervals.coverage(items, s, ["source_id"], ["id"], 1.0).collect()} == {0: 1.5, 1: 0}
+def test_merging_overlaps_and_coverage_match_counting(spark):
+    """Whole seconds, so that a set of seconds says what is covered, by whom."""
+    rng = random.Random(4)
+    turns = [(k, a := rng.randrange(80), a + rng.randrange(0, 9), rng.choice("XYZ")) for k in (1, 2) for _ in range(25)]
+    t = spark.createDataFrame(turns, "source_id long, start long, end long, speaker string")
+    seconds = lambda k, who: {x for s, a, b, w in turns if s == k and w in who for x in range(a, b)}
+
+    def islands(found):
+        found = sorted(found)
+        starts = [x for i, x in enumerate(found) if i == 0 or found[i - 1] != x - 1]
+        return [(x, next(y for y in range(x, 200) if y not in found)) for x in starts]
+
+    for width in (None, 7, 1000):
+        merged, shared = (f.collect() for f in (intervals.merge_spans(t, ["source_id"], bin_width=width), intervals.overlap_regions(t, ["source_id"], bin_width=width)))
+        for k in (1, 2):
+            assert sorted((r.start, r.end) for r in merged if r.source_id == k) == islands(seconds(k, "XYZ"))
+            by = [seconds(k, w) for w in "XYZ"]
+            assert sorted((r.start, r.end) for r in shared if r.source_id == k) == islands({x for x in range(100) if sum(x in s for s in by) > 1})
+    items = spark.createDataFrame([(k, n, a := rng.randrange(80), a + n % 4) for k in (1, 2) for n in range(12)], "source_id long, id long, start long, end long")
+    for r in intervals.coverage(items, t, ["source_id"], ["id"], 5).collect():
+        assert r.covered == len(seconds(r.source_id, "XYZ") & set(range(r.start, r.end)))
 
 
 def test_bins_change_nothing(spark):
@@ -83,11 +96,21 @@ def test_bins_change_nothing(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_group_spans(spark):
-    s = spans(spark, [(1, 0.0, 10.0), (1, 10.5, 20.0), (1, 30.0, 100.0)])
-    got = times(intervals.group_spans(s, ["source_id"], 25, 1))
-    assert got[0] == (0, 20) and all(b - a <= 25 for a, b in got) and got[-1][1] == 100
-    assert len(intervals.cut_spans(spans(spark, [(1, 0.0, 50.0)]), ["source_id"], 25).collect()) == 3
+def test_chunks_fit_and_leave_no_speech_out(spark):
+    rng = random.Random(7)
+    at, rows = 0.0, []
+    for _ in range(60):
+        at += rng.choice((0.2, 0.8, 3.0))
+        rows.append((1, at, at := at + rng.uniform(0.5, 40)))
+    s = spans(spark, rows)
+    got, pieces = (times(f(s)) for f in (lambda x: intervals.group_spans(x, ["source_id"], 12, 1), lambda x: intervals.cut_spans(x, ["source_id"], 12)))
+    assert all(b - a <= 12 + 1e-9 for a, b in got) and sum(b - a for a, b in pieces) == pytest.approx(sum(b - a for _, a, b in rows))
+    of = [next(i for i, (a, b) in enumerate(got) if a <= x and y <= b) for x, y in pieces]
+    assert of == sorted(of) and set(of) == set(range(len(got)))
+    # no chunk could have taken the first piece of the next
+    for i in range(len(got) - 1):
+        first = pieces[of.index(i + 1)]
+        assert first[1] - got[i][0] > 12 or first[0] - got[i][1] > 1
 
 
 def test_ties_of_speakers(spark):
@@ -156,10 +179,36 @@ def test_long_runs_are_split_at_sentences():
 
 
 def test_changes_move_to_the_sentence_end():
-    rows = [(" in", 0.0, 0.3, "A"), (" apps?", 0.3, 0.8, "A"), (" Multiple", 0.9, 1.3, "A"), (" reasons", 1.35, 1.8, "B"), (" here.", 1.8, 2.2, "B")]
-    k = kernel(rows, [("A", 0.0, 1.3), ("B", 1.3, 2.5)])
+    rows = [(" rain", 5.0, 5.2, "K"), (" stops.", 5.2, 5.6, "K"), (" Then", 5.6, 5.9, "K"), (" we", 6.0, 6.2, "L"), (" walk", 6.2, 6.5, "L")]
+    k = kernel(rows, [("K", 4.0, 5.95), ("L", 5.95, 7.0)])
     k.move_changes()
-    assert k.speaker == ["A", "A", "B", "B", "B"]
+    assert k.speaker == ["K", "K", "L", "L", "L"]
+    far = kernel([(" rain.", 1.0, 1.2, "K"), (" and", 1.5, 2.2, "K"), (" so", 2.2, 2.5, "L")], [("K", 0.0, 2.2), ("L", 2.2, 3.0)])
+    far.move_changes()  # the sentence ends before the zone
+    assert far.speaker == ["K", "K", "L"]
+
+
+def test_moves_stay_between_neighbouring_changes():
+    for seed in range(200):
+        rng, at, rows = random.Random(seed), 0.0, []
+        for _ in range(30):
+            who = rng.choice(["K", "L", "M", None]) if not rows or rng.random() < 0.3 else rows[-1][3]
+            at += rng.choice((0.0, 0.1, 0.7))
+            rows.append((rng.choice((" a", " b.", " c,")), at, at := at + 0.2, who))
+        turns = sorted((rng.choice("KLM"), x := rng.uniform(0, at), x + rng.uniform(0.2, 3)) for _ in range(6))
+        k = kernel(rows, turns)
+        before = list(k.speaker)
+        k.move_changes()
+        named = lambda x: [s is None for s in x]
+        assert named(k.speaker) == named(before)  # words without a speaker keep none, and give none
+        for i, s in enumerate(k.speaker):  # a word goes to a speaker whose stretch touched its own
+            if s != before[i]:
+                lo, hi = i, i
+                while lo and before[lo - 1] == before[i]:
+                    lo -= 1
+                while hi + 1 < len(before) and before[hi + 1] == before[i]:
+                    hi += 1
+                assert s in k.speaker[max(0, lo - 1) : hi + 2]
 
 
 def test_pads_stay_off_other_speakers():
