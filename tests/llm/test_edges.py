@@ -136,3 +136,24 @@ def test_perspectives(spark):
     assert {(r["conv_id"], r["part"], r["participant"]) for r in out} == {(1, 0, p) for p in ("ann", "bob", "unknown")} | {(None, 0, "ann")} | {(3, 0, "ann"), (3, 0, "bob")} | {(3, len(LONG * 6) // perspectives.PART_BYTES, p) for p in ("ann", "bob")}
     assert next(r for r in out if (r["conv_id"], r["participant"]) == (1, "bob"))["n_own_turns"] == 2
     assert perspectives.rotate_perspectives(spark.createDataFrame([], schema)).isEmpty()
+
+
+def test_pipeline_stages(docs, spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, 1, 0), (4, 1, 1), (None, 0, 1), (5, 0, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "one two three four five six seven eight"), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    some = bool(expected(docs))
+    kept = {"near duplicates": [1, 2, 3, 4, 5, 7, None], "decontamination": [2, 3, 4, 5, 7, None]}
+    scratch, at = Scratch(spark, "edge-stages"), docs
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = scratch.save(stage(spark, at, str(tmp_path)), str(k))
+        assert out.columns == (docs.columns if k < 4 else [*docs.columns, "virtual_slot_", "shard_"])
+        if name in kept and some and k:
+            assert ids(out) == [x for x in kept[name] if x in ids(at)]
+        if name == "mixing":
+            assert {r["doc_id"] for r in out.collect()} <= {r["doc_id"] for r in at.collect()}
+        if name == "sharding":
+            assert out.count() == at.count()
+        assert some or out.isEmpty()
+        at = out
