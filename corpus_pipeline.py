@@ -1,5 +1,13 @@
 """A training corpus from raw documents: toxic texts go, one of each group of near copies stays,
-benchmark leaks go, sources are mixed to their targets, and the rest is dealt to shards."""
+benchmark leaks go, sources are mixed to their targets, and the rest is dealt to shards.
+
+Defined cases of every stage: a null or empty text is ordinary, no copy of another, clean, and of size 0
+(mixing takes such documents in whole passes and below its thresholds like others); rows without id stay through the first
+three stages; equal rows are copies of each other, of which one stays; rows that share an id are one
+document for the near duplicates; a null source is a source of its own; further columns pass through,
+and where one is called ``shard`` or ``virtual_slot`` the new ones get an underscore; without labels of both
+kinds every score is the share of toxic ones; empty tables give empty results.
+"""
 
 from __future__ import annotations
 
