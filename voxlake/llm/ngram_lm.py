@@ -16,7 +16,7 @@ Texts are tokenised once, in batches of about ``BATCH_TOKENS``: a batch is kept
 of places in its own sorted words. Level by level, every batch asks for its distinct words, bigrams
 and trigrams, with their counts in training texts; the questions are shuffled to segments of the
 level, which add up the counts, make their part of the trie from them, look everything asked up in
-it and answer the batches. A segment is a range of hashes (words) or of contexts; a context that would
+it and answer the batches. A segment is a range of hashes (words) or holds stretches of contexts; a context that would
 fill a segment by itself is split by its successors. So no task holds more than a segment or a batch,
 nobody holds the model, and nothing is pruned: every word, bigram and trigram of the corpus counts.
 The model's segments stay in the shared folder as flat buffers that are read in place; documents
@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import Scratch, WordHashes, words_of
+from voxlake.llm.common import Scratch, WordHashes, spread, words_of
 from voxlake.llm.elias_fano import EliasFano, pack, unpack
 
 FOLDS = 10
@@ -48,9 +48,9 @@ ADD = 0.1
 DIRICHLET = (100.0, 20.0)
 CODES, LOWEST = 254, 12.0  # levels of -log10 p, from 0
 ABSENT = 255
-SEGMENT_TOKENS = 1_000_000  # of a bigram or trigram segment
+SEGMENT_TOKENS = 500_000  # of a bigram or trigram segment
 WORD_SEGMENT_TOKENS = 8_000_000  # their distinct words by batch are some hundredths
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 1_000_000
 END = xxhash.xxh3_64_intdigest(b"") >> 1  # no word is empty; as a context, the start
 
 
@@ -248,6 +248,7 @@ class Level:
     n_contexts: int = 0
     n_words: int = 0
     n_segments: int = 1
+    stretch: int = 6  # contexts are dealt by stretches of 2**stretch: neighbours compress well, and no segment gets all that is frequent
     hot: dict[int, tuple[int, int]] = field(default_factory=dict)  # context: first segment, number
     segments: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -275,7 +276,7 @@ class Level:
 
     def dealt(self, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Segments in order, and the places of what belongs to them, in the order given."""
-        out = contexts // -(-max(1, self.n_contexts) // self.n_segments)
+        out = (spread((contexts >> self.stretch).astype(np.uint64)) % np.uint64(self.n_segments)).astype(np.int64)
         if self.hot:
             hot = np.array(sorted(self.hot), np.int64)
             at = np.flatnonzero(np.isin(contexts, hot))
@@ -294,7 +295,7 @@ class Model:
     total: int = 0
     words: Level = field(default_factory=lambda: Level("words"))
     bigrams: Level = field(default_factory=lambda: Level("bigrams"))
-    trigrams: Level = field(default_factory=lambda: Level("trigrams"))
+    trigrams: Level = field(default_factory=lambda: Level("trigrams", stretch=10))
 
     def chances(self, counts: np.ndarray) -> np.ndarray:
         """Smoothed probabilities of words with these counts."""
