@@ -19,7 +19,7 @@ level, which add up the counts, make their part of the trie from them, look ever
 it and answer the batches. A segment is a range of hashes (words) or holds stretches of contexts; a context that would
 fill a segment by itself is split by its successors. So no task holds more than a segment or a batch,
 nobody holds the model, and nothing is pruned: every word, bigram and trigram of the corpus counts.
-The model's segments stay in the shared folder as flat buffers that are read in place; documents
+The model's segments can stay in the shared folder as flat buffers that are read in place; documents
 scored later ask these instead of training.
 
 Defined cases: a null text is empty: one end token; a document without id trains if the checksum of
@@ -205,7 +205,7 @@ class Batch:
             self.triple_codes[order[run]] = answers[s][0]
 
     def questions(self, level: Level) -> pa.RecordBatch:
-        """Contexts and their totals, successors of each, words, counts: by segment."""
+        """Contexts, their totals if they are split (else the segment can count), successors of each, words, counts: by segment."""
         if level.name == "bigrams":
             contexts, totals, words, counts = self.pair_contexts, self.pair_totals, self.pair_words, self.pair_counts
         else:
@@ -216,7 +216,7 @@ class Batch:
             at = order[run]
             c = contexts[at]
             begin = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-            rows.append((level.name, s, self.number, None, None, None, encode(c[begin], totals[at][begin], np.diff(np.append(begin, len(at))), words[at], counts[at])))
+            rows.append((level.name, s, self.number, None, None, None, encode(c[begin], totals[at][begin] if s >= level.n_segments else totals[:0], np.diff(np.append(begin, len(at))), words[at], counts[at])))
         return _record(rows)
 
     def scores(self) -> pa.Table:
@@ -317,7 +317,7 @@ def _asked_of(table: pa.Table) -> tuple[list[tuple[int, list[np.ndarray]]], byte
     return [(b, decode(blobs[k].as_py())) for k, b in enumerate(batches) if b is not None], stored
 
 
-def _word_segment(hot_from: int):
+def _word_segment(hot_from: int, keep: bool):
     def run(key, table):
         asked, stored = _asked_of(table)
         segment = key[0].as_py()
@@ -329,7 +329,7 @@ def _word_segment(hot_from: int):
             counts = counts[trained]
             stored = pack([*EliasFano.of(values[trained]).arrays(), counts])
             hot = np.flatnonzero(counts > hot_from)
-            rows = [("model", segment, None, len(counts), int(counts.sum()), hot, counts[hot], stored)]
+            rows = [("model", segment, None, len(counts), int(counts.sum()), hot, counts[hot], stored if keep else None)]
         *sequence, n = unpack(np.frombuffer(stored, np.uint8))
         place, same = EliasFano.from_arrays(*sequence).successor(values)
         count = np.where(same, np.append(n, 0)[place], 0)
@@ -375,7 +375,7 @@ def look_up(blob: bytes, contexts: np.ndarray, words: np.ndarray) -> tuple[np.nd
     return place, np.where(good, codes[place], ABSENT), np.where(good, counts[place], 0).astype(np.int64)
 
 
-def _level_segment(name: str, weight: float, hot_from: int):
+def _level_segment(name: str, weight: float, hot_from: int, keep: bool):
     def run(key, table):
         asked, stored = _asked_of(table)
         segment, empty = key[0].as_py(), np.zeros(0, np.int64)
@@ -389,13 +389,14 @@ def _level_segment(name: str, weight: float, hot_from: int):
         rows = []
         if stored is None:
             counts = np.bincount(at, join(4), len(values)).astype(np.int64)
-            totals = np.zeros(len(each), np.int64)
-            totals[mine] = join(1)
+            totals = np.bincount(c, counts, len(each)).astype(np.int64)  # every word of a context but the last has one after it
+            if len(given := join(1)):
+                totals[mine] = given
             kept = counts > 0
             ck, counts = c[kept], counts[kept]
             stored = _segment_blob(each[ck], w[kept], counts, totals[ck], weight)
             hot = np.flatnonzero(counts > hot_from)
-            rows = [("model", segment, None, len(counts), None, hot, counts[hot], stored)]
+            rows = [("model", segment, None, len(counts), None, hot, counts[hot], stored if keep else None)]
         place, code, count = look_up(stored, each[c], w)
         begin = 0
         for batch, x in asked:
@@ -433,11 +434,12 @@ def _answered(questions: DataFrame, segment, model: Model, level: Level, scratch
         if following:
             following.n_contexts, following.n_words = level.size, model.words.size
             following.n_segments = _tiers(model.total, SEGMENT_TOKENS)
+            following.stretch = min(following.stretch, max(0, (following.n_contexts // (8 * following.n_segments)).bit_length() - 1))
             following.heat({level.start(r.segment) + h: n for r in rows for h, n in zip(r.hot, r.hot_n, strict=True)})
     return out.where("kind <> 'model'").select("kind", "segment", "batch", "blob")
 
 
-def _run(docs: DataFrame, scratch: Scratch, model: Model | None, dirichlet: tuple[float, float]) -> tuple[DataFrame, Model]:
+def _run(docs: DataFrame, scratch: Scratch, model: Model | None, dirichlet: tuple[float, float], keep: bool = True) -> tuple[DataFrame, Model]:
     """Scores of all documents (doc_id, train, text), and the model, which is trained if there is none."""
     train = model is None
     if model is None:
@@ -445,13 +447,13 @@ def _run(docs: DataFrame, scratch: Scratch, model: Model | None, dirichlet: tupl
         model = Model(dirichlet, max(0, _tiers(n_tokens, WORD_SEGMENT_TOKENS) - 1).bit_length())
     tokens = scratch.save(docs.mapInArrow(_tokenised(model.bits, BATCH_TOKENS), _ROWS), "tokens", by="kind")
     streams = tokens.where("kind = 'stream'").select("batch", "doc_ids", "sizes", "trains", "blob")
-    answers = _answered(tokens.where("kind = 'words'"), _word_segment(SEGMENT_TOKENS // 2), model, model.words, scratch, train)
+    answers = _answered(tokens.where("kind = 'words'"), _word_segment(SEGMENT_TOKENS // 2, keep), model, model.words, scratch, train)
     scratch.drop("tokens/kind=words")
     for level, weight in ((model.bigrams, model.dirichlet[0]), (model.trigrams, model.dirichlet[1])):
         if not model.words.size or (level is model.trigrams and not model.bigrams.size):
             break
         ask = streams.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_question(model, level), _ROWS)
-        answers = answers.unionByName(_answered(ask, _level_segment(level.name, weight, SEGMENT_TOKENS // 2), model, level, scratch, train))
+        answers = answers.unionByName(_answered(ask, _level_segment(level.name, weight, SEGMENT_TOKENS // 2, keep), model, level, scratch, train))
     out = streams.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score(model), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(model.total).cast("long")), model
 
@@ -470,19 +472,20 @@ def _score(model: Model):
     return run
 
 
-def train_and_score(docs: DataFrame, scratch: Scratch, dirichlet: tuple[float, float] = DIRICHLET) -> tuple[DataFrame, Model]:
+def train_and_score(docs: DataFrame, scratch: Scratch, dirichlet: tuple[float, float] = DIRICHLET, keep: bool = True) -> tuple[DataFrame, Model]:
     """A model of the texts marked ``train``, and doc_id, n_tokens, n_known, base_score (by words
-    alone), score (by the trie), train_tokens of all documents. ``docs``: doc_id, train, text."""
-    return _run(docs.select("doc_id", "train", "text"), scratch, None, dirichlet)
+    alone), score (by the trie), train_tokens of all documents. ``docs``: doc_id, train, text. Without
+    ``keep`` the segments are not written once they have answered; the model can't score other documents then."""
+    return _run(docs.select("doc_id", "train", "text"), scratch, None, dirichlet, keep)
 
 
 def score_documents(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
-    """The same columns of other documents (doc_id, text), by a model trained before."""
+    """The same columns of other documents (doc_id, text), by a model trained and kept before."""
     return _run(docs.select("doc_id", F.lit(False).alias("train"), "text"), scratch, model, model.dirichlet)[0]
 
 
 def op9_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word and trie scores of every document, learned from nine in ten."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", (~is_held_out(F.col("doc_id"))).alias("train"), "text")
-    out, _ = train_and_score(docs, Scratch(spark, "lm"))
+    out, _ = train_and_score(docs, Scratch(spark, "lm"), keep=False)  # nothing is scored later
     return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
