@@ -32,9 +32,10 @@ class Loud(components.Component):
 
 
 @pytest.fixture
-def fakes():
+def fakes(monkeypatch):
     from pyspark import cloudpickle
 
+    monkeypatch.setattr(components, "_registered", {})  # it travels to the workers, where other tests' fakes are unknown
     for kind in ("vad", "embedder", "transcriber", "aligner"):
         components.register(kind, "loud", Loud)
     modules = (sys.modules[__name__], components)
