@@ -228,5 +228,6 @@ def test_history_and_small_sinks(spark, tmp_path):
 def test_hash_thresholds_match_a_sort(spark):
     hashes = sorted(hashlib.sha1(str(i).encode()).hexdigest() for i in range(500))
     frame = spark.createDataFrame([(h,) for h in hashes], "h string")
-    for wanted in (1, 2, 77, 250, 499):
-        assert sum(h < summary.hash_threshold(frame, wanted, digits=1) for h in hashes) == wanted
+    for wanted in (1, 77, 499):
+        end = summary.hash_threshold(frame, wanted, digits=1)
+        assert sum(h < end for h in hashes) == wanted
