@@ -51,16 +51,6 @@ def test_chunked_work_keeps_a_signal():
         clips.process_chunked(np.zeros(9), 10, 1.0, 0.5, lambda y, _: y)
 
 
-def test_registry_table(spark):
-    r = vectors.Registry()
-    r.assign([{"members": {"s1:A": (10.0, [1.0, 0.0])}}, {"members": {"s1:B": (4.0, [0.0, 1.0])}, "name": "ann"}], 0.6)
-    r.assign([{"members": {"s1:A": (9.0, [1.0, 0.0])}}], 0.6, {"s1"})
-    back = vectors.Registry.of(r.frame(spark))
-    assert back.next_id == 2 and back.speakers == r.speakers and back.speakers[1]["members"] == {}
-    old = spark.createDataFrame([(0, None, [1.0, 0.0], 10.0, "a:1", None, None, 1), (0, None, [1.0, 0.0], 10.0, "b:1", None, None, 1)], vectors.REGISTRY)
-    assert vectors.Registry.of(old).speakers[0]["members"]["a:1"] == (5.0, [1.0, 0.0])
-
-
 def test_command_line(spark, tmp_path, capsys):
     assert main(["init", str(tmp_path / "c.yaml")]) == 0 and "cluster_threshold" in (tmp_path / "c.yaml").read_text()
     assert main(["components"]) == 0 and "scorer.level" in capsys.readouterr().out

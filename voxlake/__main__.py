@@ -49,18 +49,18 @@ def _plain(value):
 
 
 def _build(args) -> int:
-    from voxlake.operators.vectors import Registry
+    from voxlake.operators import identity
     from voxlake.plans.manifest import Versions
 
     settings = _settings(args)
     spark = _session()
     state = Versions(spark, f"{args.work}/registry")
     at = state.current()
-    registry = Registry.of(state.read(at)) if at else Registry()
+    registry = identity.registry_of(state.read(at)) if at else identity.empty_registry(spark)
     read = lambda n: spark.read.parquet(f"{args.work}/{n}")
     built = bd.build_dataset(read("segments"), read("scores"), read("embeddings"), read("windows") if args.windows else None, registry, settings)
     built.rows.write.mode("overwrite").parquet(f"{args.work}/utterances")
-    state.publish(registry.frame(spark), at)
+    state.publish(built.registry, at)
     built.reasons.show(100, False)
     return 0
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.functions.keys import source_of
+from voxlake.operators.ranks import ranked
 
 
 def merge_rows(remote: DataFrame, local: DataFrame, local_sources: DataFrame) -> DataFrame:
@@ -52,11 +53,5 @@ def check_lineage(remote: DataFrame, local: DataFrame, local_sources: DataFrame,
 
 
 def upload_batches(paths: DataFrame, size: int) -> DataFrame:
-    """Paths with their batch, in path order. Ranks come from ranges of paths, so that no task numbers all."""
-    n = max(1, min(200, paths.count() // 100_000))
-    ranged = paths.repartitionByRange(n, "path").withColumn("_part", F.spark_partition_id()).sortWithinPartitions("path")
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # n rows
-    offsets = counts.select("_part", before.alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy("path")) - 1
-    return ranged.withColumn("_rank", rank).join(F.broadcast(offsets), "_part").select("path", F.floor((F.col("_rank") + F.col("_before")) / size).alias("batch"))
+    """Paths with their batch, in path order."""
+    return ranked(paths, "path", "_rank").select("path", F.floor(F.col("_rank") / size).alias("batch"))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.operators import diarize
+from voxlake.operators import diarize, identity
 from voxlake.operators import signal as sig
 from voxlake.operators import vectors as vc
 from voxlake.plans.fixtures import read
+from voxlake.plans.stored import stored
 
 
 def _vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -43,15 +42,11 @@ def v3_v4_local_speakers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v5_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Global clusters of local speakers: one kernel over their centroids."""
+    """Global clusters of local speakers."""
     _, speakers = vc.local_speakers(_vectors(spark, d), 0.45, 5.0)
-    known = speakers.where("kept").withColumn("all", F.lit(1))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["source_id", "label"])
-        return pd.DataFrame({"source_id": pdf["source_id"], "label": pdf["label"], "cluster": vc.agglomerate(np.stack(pdf["centroid"].to_list()), 0.45)})
-
-    return known.groupBy("all").applyInPandas(run, "source_id long, label string, cluster long")  # local speakers, one row each
+    known = speakers.where("kept").select("source_id", "label", identity.member_key(F.col("source_id"), F.col("label")).alias("node"), "centroid")
+    known = stored(known)
+    return known.join(identity.cluster_speakers(known, 0.45), "node").select("source_id", "label", "cluster")
 
 
 def j18_nearest_anchor(spark: SparkSession, d: str) -> DataFrame:
