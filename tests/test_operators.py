@@ -425,3 +425,23 @@ def test_missing_word_times_raise(spark):
     assert summary.require_words(s.where("source_id = 'a'"), w).count() == 1
     with pytest.raises(Exception, match="no word times in b"):
         summary.require_words(s, w).collect()
+
+
+def test_segments_of_batches(spark):
+    """Segments don't depend on where batches end, and the kernel runs once for segments and their words."""
+    words = [(s, k, f" w{k}" + ("." if k % 9 == 8 else ""), k * 0.5, k * 0.5 + 0.4, "event" if k % 7 == 3 else "word", None if k % 5 == 0 else 0.5, None if k % 31 == 30 else "AB"[k // 20 % 2], False, False) for s in (1, 2, 3, 4) for k in range(30 * s)]
+    w = spark.createDataFrame(words, "source_id long, ord long, text string, start double, end double, kind string, prob double, speaker string, overlapped boolean, break_before boolean")
+    t = spark.createDataFrame([(s, "AB"[k % 2], k * 10.0, k * 10.0 + 9.9, k) for s in (1, 2, 3, 5) for k in range(6)], "source_id long, speaker string, start double, end double, ord long")
+    totals = spark.createDataFrame([(s, 100.0) for s in (1, 2, 3, 6)], "source_id long, total double")
+    built = segments.build_segments(w, t, totals, segments.Limits(min_duration=1.0, max_duration=6.0, preferred_min=3.0))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Pandas" not in plan and "Join" not in plan
+    got = sorted(built.collect(), key=lambda r: r.segment_id)
+    assert {r.source_id for r in got} == {1, 2, 3}  # source 4 has no length
+    for r in got:
+        assert [x.ord for x in r.words] == r.ords and r.num_words == sum(x.kind == "word" for x in r.words) and r.text == "".join(x.text for x in r.words if x.kind == "word").strip()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert sorted(built.collect(), key=lambda r: r.segment_id) == got
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
