@@ -445,3 +445,41 @@ def test_segments_of_batches(spark):
         assert sorted(built.collect(), key=lambda r: r.segment_id) == got
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_local_speakers_of_batches(spark):
+    """Every label of a source, also none, is one group whatever the batches; its kernel runs once for both results."""
+    rows = [(s * 100 + k, s, None if s == 2 and k % 2 else "AB"[k % 2], 1.0 + k, [float(k % 2), 1.0 - k % 2, 0.01 * (k % 5)]) for s in range(4) for k in range(8 * s)]
+    df = spark.createDataFrame(rows, "segment_id long, source_id long, label string, duration double, embedding array<float>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        sims, speakers = vectors.local_speakers(df, 0.45, 20.0)
+        sims, speakers = {r.segment_id: r.speaker_similarity for r in sims.collect()}, {(r.source_id, r.label): r for r in speakers.collect()}
+        plan = vectors.local_speakers(df, 0.45, 20.0)[1]._jdf.queryExecution().executedPlan().toString()
+        assert "Pandas" not in plan and "Arrow" not in plan
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    groups = {(s, lab) for _, s, lab, *_ in rows}
+    assert set(speakers) == groups and len(sims) == len(rows)
+    for s, lab in groups:
+        own = [r for r in rows if r[1:3] == (s, lab)]
+        center, near = vectors.robust_centroid(np.array([r[4] for r in own], np.float32), [r[3] for r in own], 0.45)
+        assert speakers[s, lab].centroid == pytest.approx(center) and speakers[s, lab].duration == sum(r[3] for r in own) and speakers[s, lab].kept == (speakers[s, lab].duration >= 20)
+        assert [sims[r[0]] for r in own] == pytest.approx(near.round(5))
+
+
+def test_references_past_what_overlaps(spark, monkeypatch):
+    """Targets that overlap the best hundred references of their speaker find the next ones, and only those look that far."""
+    from voxlake.operators import references
+
+    pool = [(f"r{i:04d}", -i, 1, "a", 10.0, 11.0, 1000.0 - i) if i < 100 else (f"r{i:04d}", -i, 1, "a", 50.0 + i, 51.0 + i, 1000.0 - i) for i in range(400)]
+    targets = [(1, 1, "a", 10.5, 12.0)] + [(i, 1, "a", 20.0, 21.0) for i in range(2, 400)]
+    sizes, keep = [], references.stored
+    monkeypatch.setattr(references, "stored", lambda df: (out := keep(df), sizes.append((df.columns, out.count())))[0])
+    got = references.assign_references(
+        spark.createDataFrame(targets, "segment_id long, speaker_id long, source_id string, start double, end double"),
+        spark.createDataFrame(pool, "ref_id string, parent_id long, speaker_id long, source_id string, start double, end double, m double"), [F.col("m").desc(), F.col("ref_id").asc()], 3,
+    ).collect()
+    chosen = {r.segment_id: r.ref_id for r in got}
+    assert len(chosen) == 399 and chosen[1] in {"r0100", "r0101", "r0102"} and {v for k, v in chosen.items() if k > 1} == {"r0000", "r0001", "r0002"}
+    assert [n for columns, n in sizes if "_size" in columns] == [399, 1, 1, 0]  # targets that look: at 6, 48 and 384 places
