@@ -483,3 +483,17 @@ def test_references_past_what_overlaps(spark, monkeypatch):
     chosen = {r.segment_id: r.ref_id for r in got}
     assert len(chosen) == 399 and chosen[1] in {"r0100", "r0101", "r0102"} and {v for k, v in chosen.items() if k > 1} == {"r0000", "r0001", "r0002"}
     assert [n for columns, n in sizes if "_size" in columns] == [399, 1, 1, 0]  # targets that look: at 6, 48 and 384 places
+
+
+def test_metric_columns_measure_once(spark, monkeypatch):
+    """The metrics are computed once for their keys and columns; words of a text are those of its parts."""
+    from voxlake.plans import corpus_queries as cq
+
+    kept, keep = [], cq.stored
+    monkeypatch.setattr(cq, "stored", lambda df: kept.append(df.columns) or keep(df))
+    plan = cq.f8_metric_columns(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert kept == [["doc_id", "metrics"]] and "regexp_replace" not in plan
+    odd = ["ΟΔΟΣ. ΣΑΣ-Σ", " a b C\u0085d​e ", "x́y_z", "--", "", "İI ß\tk", "a.Σ b", "\x1c1\x1f2"]
+    old = lambda t: F.filter(F.transform(F.split(t, r"(?U)\s+"), lambda w: F.lower(F.regexp_replace(w, r"[^\p{L}\p{M}\p{N}]", ""))), lambda w: w != "")
+    for r in spark.createDataFrame([(t,) for t in odd], "t string").select(text.tokenize(F.col("t")).alias("new"), old(F.col("t")).alias("old")).collect():
+        assert r.new == r.old

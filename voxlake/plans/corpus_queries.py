@@ -10,6 +10,7 @@ from voxlake.operators import publish, rules, summary
 from voxlake.operators.intervals import merge_spans
 from voxlake.operators.references import assign_references
 from voxlake.plans.fixtures import SPEECH, TURNS, read, speech, turns
+from voxlake.plans.stored import stored
 from voxlake.plans.text_queries import SQL as TEXT_SQL
 
 RULES = (
@@ -55,7 +56,7 @@ def a4_reason_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def f8_metric_columns(spark: SparkSession, d: str) -> DataFrame:
     """The metric map as columns, one for each key."""
-    s = _segments(spark, d)
+    s = stored(_segments(spark, d).select("doc_id", "metrics"))  # read for the keys and for the columns
     keys = sorted(r.k for r in s.select(F.explode(F.map_keys("metrics")).alias("k")).distinct().collect())
     return s.select("doc_id", *(F.try_element_at("metrics", F.lit(k)).alias(k) for k in keys))
 
