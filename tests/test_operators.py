@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from voxlake import components
 from voxlake.functions import keys, text
 from voxlake.operators import intervals, publish, rules, segments, signal, summary, vectors
+from voxlake.operators.marks import Marks, mark
 from voxlake.operators.references import assign_references
 from voxlake.plans.manifest import MANIFEST, Versions, blocked, downstream, fingerprints, invalidate, isolate, pending
 from voxlake.sources import resolve, sinks
@@ -447,6 +448,72 @@ def test_segments_of_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_marks_match_interval_joins(spark):
+    """Speakers, overlap and breaks found source by source are those of the joins: ties, nearest turns, equal and empty turns, none at all."""
+    rng, words, turns, by = random.Random(3), [], [], Marks(per_second=100, least=1, max_distance=30, share=0.3, gap=30)
+    for source in range(12):
+        at = 0
+        for k in range(60):
+            at += rng.choice((0, 0, 10, 20, 30, 60, 90))
+            words.append((source, k, f" w{k}" + rng.choice(("", "", ".")), at, at + rng.choice((0, 10, 20, 50)), rng.choice(("word", "word", "event")), 0.5))
+            at += rng.choice((0, 10, 20))
+        for k in range(source * 2):
+            a = rng.randrange(0, at, 10)
+            turns.append((source, rng.choice("ABCé"), a, a + rng.choice((0, 10, 50, 300)), None if k == 3 else k))
+    w = spark.createDataFrame(words, "source_id long, ord long, text string, start long, end long, kind string, prob double").cache()
+    t = spark.createDataFrame(turns, "source_id long, speaker string, start long, end long, ord long").cache()
+    key, ids = ["source_id"], ["ord"]
+    named = intervals.assign_speakers(w, t, key, ids, 400, 30, 1).cache()
+    floor = named.withColumn("end", F.greatest("end", F.col("start") + 1))
+    covered = intervals.coverage(floor, intervals.overlap_regions(t, key), key, ids, 400).select("source_id", "ord", (intervals.coverage_ratio() >= 0.3).alias("overlapped"))
+    breaks = intervals.other_speaker_breaks(named, t, key, ids, 400, 30).withColumn("break_before", F.lit(True))
+    marked = named.join(covered, [*key, *ids]).join(breaks, [*key, *ids], "left").withColumn("break_before", F.coalesce("break_before", F.lit(False))).cache()
+    want = marked.orderBy("source_id", "ord").collect()
+    got = []
+    for source in range(12):
+        of = sorted((x for x in turns if x[0] == source), key=lambda x: -1 if x[4] is None else x[4])
+        start, end = (np.array([x[k] for x in words if x[0] == source], np.int64) for k in (3, 4))
+        got += zip(*(list(x) for x in mark(start, end, (np.array([x[2] for x in of], np.int64), np.array([x[3] for x in of], np.int64), [x[1] for x in of]), by)), strict=True)
+    assert got == [(r.speaker, r.overlapped, r.break_before) for r in want]
+    assert {s for s, _, _ in got} == {None, *"ABCé"} and 9 < sum(o for _, o, _ in got) and 9 < sum(b for _, _, b in got)
+    limits = segments.Limits(min_duration=0.2, max_duration=3.0, preferred_min=1.5)
+    seconds = lambda df: df.withColumns({c: F.col(c) / 100 for c in ("start", "end")})
+    joined = segments.build_segments(seconds(marked), seconds(t), seconds(w).groupBy("source_id").agg((F.max("end") + 1).alias("total")), limits)
+    inline = segments.build_segments(w, t, None, limits, by)
+    rows = [sorted(map(repr, df.collect())) for df in (inline, joined)]
+    assert rows[0] == rows[1] and len(rows[0]) > 30 and "Join" not in inline._jdf.queryExecution().executedPlan().toString()
+
+
+def test_work_on_a_run_grows_with_its_words():
+    """A run of one speaker is cut as by looking at all of its rest each time, but looks no further than a piece reaches."""
+    rng, n = random.Random(5), 3000
+    starts = np.cumsum([rng.choice((0.1, 0.4, 0.9)) for _ in range(n)])
+    k = kernel([(" w" + rng.choice(("", "", ",", ".")), a, a + rng.choice((0.1, 0.5, 3.0, 40.0 if rng.random() < 0.02 else 0.2)), "A") for a in starts.tolist()], [("A", 0.0, 4000.0)])
+    run, want, at = np.arange(n), [], 0
+    natural = 3.0 * k.sentence[:-1] + 1.0 * k.clause[:-1] + 2.0 * np.minimum(np.maximum(k.start[1:] - k.end[:-1], 0.0), 1.0)
+    while at < n:
+        if k.end[-1] - k.start[at] <= 30:
+            want.append(run[at:].tolist())
+            break
+        length = k.end[at:-1] - k.start[at]
+        fits = np.logical_and.accumulate(length <= 30)
+        score = np.where(fits, natural[at:] + 2.0 * (length >= 15) + length / 30, -np.inf)
+        cut = at + 1 + (int(np.argmax(score)) if fits.any() else 0)
+        want.append(run[at:cut].tolist())
+        at = cut
+
+    class Seen(np.ndarray):
+        taken = 0
+
+        def __getitem__(self, i):
+            out = super().__getitem__(i)
+            Seen.taken += np.size(out) if isinstance(i, slice) else 0
+            return out
+
+    k.end = k.end.view(Seen)
+    assert [p.tolist() for p in k.split(run)] == want and len(want) > 50 and Seen.taken < 20 * n
+
+
 def test_local_speakers_of_batches(spark):
     """Every label of a source, also none, is one group whatever the batches; its kernel runs once for both results."""
     rows = [(s * 100 + k, s, None if s == 2 and k % 2 else "AB"[k % 2], 1.0 + k, [float(k % 2), 1.0 - k % 2, 0.01 * (k % 5)]) for s in range(4) for k in range(8 * s)]

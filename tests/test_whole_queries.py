@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from voxlake.plans import registry
+from voxlake.plans import registry, segment_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,3 +36,12 @@ def test_intruders_of_all_sources_match_brute_force(spark):
     for k, m in margins.items():
         assert got[k].intruder_s == pytest.approx(0.75 * sum(x < -0.1 for x in m))
         assert got[k].speaker_margin_min == pytest.approx(min(m, default=1.0), abs=1.1e-5)
+
+
+@pytest.mark.skipif(not os.path.exists(f"{SF}/conversations.parquet"), reason="test tables aren't there")
+@pytest.mark.parametrize("name", ["w19_excerpts", "w12_w17_build_segments"])
+def test_segments_take_no_joins_of_words(spark, monkeypatch, name):
+    """Words of a source are marked where they are read for its segments: no interval join shuffles them."""
+    monkeypatch.setattr(segment_queries, "stored", lambda df: df)
+    plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("MapInArrow") == 1
